@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
 from .html_text import op2_html
+from .minhash import op4_minhash
 from .mixing import op8_mixing
+from .tokens import op1_token_ids
 from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_html, op5_toxicity, op7_decontaminate, op8_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_ids, op2_html, op4_minhash, op5_toxicity, op7_decontaminate, op8_mixing)}
 ORACLE_SQL: dict[str, str] = {}

@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words at the end of a name that describe dose, form or route, and units.
 DOSAGE_FORM_WORDS = (
@@ -106,7 +107,7 @@ def resolve_prod_ai(field: Column) -> Column:
     return F.when(F.trim(field) != "", F.when(F.size(kept) > 0, to_set(kept)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
@@ -183,7 +184,7 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * common / (len(a) + len(b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """indel_ratio of the texts with their words sorted; null if either is null."""
     key = lambda s: " ".join(sorted(s.split()))

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import quality, rankings, safety  # noqa: F401
+from . import naming, quality, rankings, relational, safety  # noqa: F401
 from .base import ORACLE_SQL, QUERIES  # noqa: F401

@@ -86,7 +86,7 @@ def bracket_alt(name: Column) -> Column:
 
 def backslash_parts(name: Column) -> Column:
     """The parts of a combination written with backslashes, null unless there are two."""
-    parts = F.filter(F.transform(F.split(name, r"\\"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(name, r"\\"), lambda x: F.trim(x)), lambda p: p != "")
     return F.when(F.size(parts) > 1, parts)
 
 

@@ -14,16 +14,16 @@ def label_pairs(records: DataFrame) -> DataFrame:
 
 def declared_parts(records: DataFrame, product: str, ingredients: str, count: str) -> DataFrame:
     """The parts between slashes if there are as many as declared, else the whole text as one ingredient."""
-    parts = F.transform(F.split(F.regexp_replace(ingredients, r"\s+", " "), "/"), F.trim)
+    parts = F.transform(F.split(F.regexp_replace(ingredients, r"\s+", " "), "/"), lambda x: F.trim(x))
     return records.select(F.col(product).alias("product"), F.explode(F.when(F.size(parts) == F.col(count), parts).otherwise(F.array(F.trim(ingredients)))).alias("ingredient")).filter("ingredient <> ''")
 
 
 def semicolon_parts(records: DataFrame, product: str, ingredients: str) -> DataFrame:
-    parts = F.filter(F.transform(F.split(ingredients, ";"), F.trim), lambda p: (p != "") & (F.upper(p) != "NA"))
+    parts = F.filter(F.transform(F.split(ingredients, ";"), lambda x: F.trim(x)), lambda p: (p != "") & (F.upper(p) != "NA"))
     return records.select(F.col(product).alias("product"), F.explode(parts).alias("ingredient"))
 
 
 def explode_pairs(rows: DataFrame, least: int = 3) -> DataFrame:
     """Distinct (product, signal) of cells that list several, separated by semicolons or line feeds; shorter signals go."""
-    split = lambda c, n: F.filter(F.transform(F.split(c, "[;\n]"), F.trim), lambda x: F.length(x) >= n)
+    split = lambda c, n: F.filter(F.transform(F.split(c, "[;\n]"), lambda x: F.trim(x)), lambda x: F.length(x) >= n)
     return rows.select(F.explode(split("product", 1)).alias("product"), "signal").select("product", F.explode(split("signal", least)).alias("signal")).distinct()

@@ -2,13 +2,15 @@
 
 Documents with the same shingle set are one node. Every node's set is reduced to ``BANDS * ROWS``
 minima of universal hash functions, of which a byte each is kept. Equal bands put nodes into buckets. In a
-bucket, nodes are compared with leaders only: a leader is compared with all members of other components, found links
-join components, the leader leaves the bucket, and buckets whose members are in one component are done. Thus every
-pair of a bucket is either compared or already in one component, and no bucket is expanded into
-pairs. Compared pairs must first agree in their signatures, then links are confirmed on the full sets.
+bucket, nodes are first compared with a leader: found links join components, the leader leaves the bucket, and buckets
+whose members are in one component are done. Buckets over ``SMALL`` nodes have further turns of leaders. The others are brought
+together: nodes that share buckets, directly or through others, are one part, which a task compares within, bucket by bucket;
+a part of more than ``LARGEST_PART`` nodes is taken apart into its buckets. Thus every pair of a bucket is
+compared or already in one component, and no bucket is expanded into pairs. Compared pairs must agree in their signatures;
+links are confirmed on the full sets.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**5)**40 = 1e-7, and
-its signatures (200 minima) fall below ``LEAST_AGREEMENT`` with less than 1e-8.
+its signatures (200 minima) fall below ``LEAST_AGREEMENT`` with less than 1e-6.
 """
 
 from __future__ import annotations
@@ -25,10 +27,11 @@ from .components import components
 from .shingles import mix, shingle_sets
 
 BANDS, ROWS = 40, 5
-LEAST_AGREEMENT = 0.62
+LEAST_AGREEMENT = 0.66
 WIDTH = 5
 PERCENT = 80
-LEADERS = 4
+SMALL = 4096
+LARGEST_PART = 16_384
 _CHUNK = 2 << 20
 
 _seed = np.random.default_rng(20240501)
@@ -92,9 +95,7 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
         for part in chunks(rows_of(batches, ("a", "b", "xa", "xb")), lambda r: len(r[2]) + len(r[3]), _CHUNK):
             a, b = [], []
             for i, j, xa, xb in part:
-                x, y = np.frombuffer(xa, np.uint64), np.frombuffer(xb, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if _alike(np.frombuffer(xa, np.uint64), np.frombuffer(xb, np.uint64), percent):
                     a.append(i)
                     b.append(j)
             yield _arrays({"a": (a, pa.int64()), "b": (b, pa.int64())})
@@ -102,19 +103,86 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _within(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among nodes (part, node, comp, buckets, sig, shingles) of one part that share a bucket.
+
+    Within a task components grow with every link found, and pairs inside one aren't compared: a part gives
+    fewer links than it has nodes.
+    """
+
+    def solve(part):
+        sigs = np.frombuffer(b"".join(r[4] for r in part), np.uint8).reshape(len(part), -1)
+        sets = [np.frombuffer(r[5], np.uint64) for r in part]
+        _, comp = np.unique(np.array([r[2] for r in part], np.int64), return_inverse=True)
+        buckets: dict[int, list[int]] = {}
+        for k, r in enumerate(part):
+            for bucket in r[3]:
+                buckets.setdefault(bucket, []).append(k)
+        links, seen = [], set()
+        for members in buckets.values():
+            m = np.array(members)
+            for i in range(len(m) - 1):
+                k, rest = members[i], m[i + 1 :]
+                rest = rest[comp[rest] != comp[k]]
+                if not len(rest):
+                    continue
+                for j in rest[(sigs[rest] == sigs[k]).mean(1) >= LEAST_AGREEMENT].tolist():
+                    pair = (min(k, j) << 32) | max(k, j)
+                    if comp[j] == comp[k] or pair in seen:
+                        continue
+                    seen.add(pair)
+                    if _alike(sets[k], sets[j], percent):
+                        links.append((part[k][1], part[j][1]))
+                        comp[comp == comp[j]] = comp[k]
+                if len(seen) > 2_000_000:  # only spares comparing twice
+                    seen = set()
+        return links
+
+    def run(batches):
+        held = []
+        links = []
+        for row in rows_of(batches, ("part", "node", "comp", "buckets", "sig", "shingles")):  # sorted by part
+            if held and held[-1][0] != row[0]:
+                links += solve(held) if len(held) > 1 else []
+                held = []
+            held.append(row)
+        links += solve(held) if len(held) > 1 else []
+        yield _arrays({"a": ([min(x) for x in links], pa.int64()), "b": ([max(x) for x in links], pa.int64())})
+
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long")
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _bands(nodes: DataFrame) -> DataFrame:
     bands = F.array(*(F.xxhash64(F.lit(k), F.substring("sig", k * ROWS + 1, ROWS)) for k in range(BANDS)))
     return nodes.select(F.col("id").alias("node"), F.explode(bands).alias("bucket"))
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
-    """Up to LEADERS members of each bucket that isn't in one component, other ones each turn."""
-    picks = [F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + k)).alias("h"), "node", "comp")) for k in range(LEADERS)]
-    by = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *(p.alias(f"p{k}") for k, p in enumerate(picks)))
-    by = by.filter("lo < hi").select("bucket", F.explode(F.array_distinct(F.array(*(F.struct(f"p{k}.node", f"p{k}.comp") for k in range(LEADERS))))).alias("l"))
+    """A member of each bucket, then 2, 4, ... up to 32 other ones each turn."""
+    n = min(32, 1 << turn)
+    picks = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 32 + k)).alias("h"), "node", "comp")).alias(f"p{k}") for k in range(n)]
+    by = members.groupBy("bucket").agg(*picks).select("bucket", F.explode(F.array_distinct(F.array(*(F.struct(f"p{k}.node", f"p{k}.comp") for k in range(n))))).alias("l"))
     return by.select("bucket", F.col("l.node").alias("lead"), F.col("l.comp").alias("lead_comp"))
 
 
+def _parts(members: DataFrame) -> DataFrame:
+    """(part, node, comp, buckets): parts of nodes connected through buckets, or single buckets of larger ones."""
+    first = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    edges = members.join(first, "bucket").select("a", F.col("node").alias("b"))
+    roots = materialize(components(edges), "minhash-parts")
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    sizes = roots.groupBy("root").agg(F.count("*").alias("nodes"))
+    placed = members.join(roots, "node").join(sizes, "root").withColumn("part", F.when(F.col("nodes") <= LARGEST_PART, F.xxhash64(F.lit("part"), "root")).otherwise(F.xxhash64("bucket")))
+    return placed.groupBy("part", "node").agg(F.first("comp").alias("comp"), F.collect_list("bucket").alias("buckets"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row of `docs`: id, n_shingles, component_id, kept.
 
@@ -138,25 +206,37 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width:
     involved = members.select(F.col("node").alias("id")).distinct()
     sets = materialize(_sets(texts.join(involved, "id", "left_semi"), width).dropDuplicates(["id"]), "minhash-sets")
     sigs = materialize(nodes.join(involved, "id", "left_semi").dropDuplicates(["id"]), "minhash-signatures")
-    links, turn = None, 0
-    while True:
-        leads = materialize(_leaders(members, turn), "minhash-leaders")
-        if leads.isEmpty():
-            break
-        pairs = members.join(leads, "bucket").filter("comp <> lead_comp").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
         for name, other in (("sa", "a"), ("sb", "b")):
             pairs = pairs.join(sigs.select(F.col("id").alias(other), F.col("sig").alias(name)), other)
-        near = _agreeing(pairs)
+        pairs = _agreeing(pairs)
         for name, other in (("xa", "a"), ("xb", "b")):
-            near = near.join(sets.select(F.col("id").alias(other), F.col("shingles").alias(name)), other)
-        found = materialize(_linked(near, percent), "minhash-links")
+            pairs = pairs.join(sets.select(F.col("id").alias(other), F.col("shingles").alias(name)), other)
+        return materialize(_linked(pairs, percent), "minhash-links")
+
+    links, turn, open_ = None, 0, members
+    while True:  # turns of leaders in all buckets at first, then in large ones
+        leads = materialize(_leaders(open_, turn), "minhash-leaders")
+        if leads.isEmpty():
+            break
+        pairs = open_.join(leads, "bucket").filter("comp <> lead_comp").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        found = confirmed(pairs)
         links = found if links is None else links.unionByName(found)
         roots = materialize(components(links), "minhash-roots")
         rest = members.join(leads.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti")
-        rest = rest.drop("comp").join(roots.withColumnRenamed("root", "comp"), "node", "left")
-        rest = materialize(rest.select("bucket", "node", F.coalesce("comp", "node").alias("comp")), "minhash-buckets")
+        rest = rest.drop("comp").join(roots.withColumnRenamed("root", "comp"), "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+        mixed = rest.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket", "size")
+        rest = materialize(rest.join(mixed, "bucket"), "minhash-buckets")
         discard(members)
         members, turn = rest, turn + 1
+        open_ = members.filter(F.col("size") > SMALL)
+    if links is not None:
+        parts = _parts(members.select("bucket", "node", "comp"))
+        for known_ in (sigs, sets):
+            parts = parts.join(known_.withColumnRenamed("id", "node"), "node")
+        links = links.unionByName(materialize(_within(parts, percent), "minhash-links"))
+        roots = materialize(components(links), "minhash-roots")
     if links is None:
         out = known.withColumn("component_id", F.col("rep"))
     else:

@@ -36,13 +36,13 @@ def _halves():
     """Hashes of the first and last words, for half of the length and half of the length less one."""
     n = F.size("words")
     out = []
-    for half in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
+    for half in (F.floor(n / 2).cast("int"), F.greatest(F.lit(0), F.floor((n - 1) / 2).cast("int"))):
         out += [F.xxhash64(F.lit("first"), half, F.slice("words", F.lit(1), half)), F.xxhash64(F.lit("last"), half, F.slice("words", n - half + 1, half))]
     return out
 
 
 def _keys(lines: DataFrame) -> DataFrame:
-    """(key, kind, k1, k2, first) of lines with words; kind 0: a deletion, 1: the whole line to be met by deletions."""
+    """(key, kind, k1, k2, first) of lines with words; kind 0: a deletion to meet its like, 1: the whole line, 2: a deletion to meet whole lines."""
     by = Window.partitionBy("k1", "k2")
     run = by.orderBy("at")
     words = lines.select("k1", "k2", "first", "ends", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
@@ -54,7 +54,11 @@ def _keys(lines: DataFrame) -> DataFrame:
     words = words.withColumn("without", F.col("before").bitwiseXOR(total).bitwiseXOR(upto))
     half = F.floor((F.col("n") - 1) / 2)
     open_ = (F.col("ends").bitwiseAND(1) > 0) & (F.col("at") >= half) | (F.col("ends").bitwiseAND(2) > 0) & (F.col("at") < F.col("n") - half)
-    keys = words.filter(open_).select("k1", "k2", "first", F.lit(0).alias("kind"), F.explode(F.array(F.xxhash64(F.lit("same"), "n", "at", "without"), F.xxhash64(F.lit("less"), F.col("n") - 1, "without"))).alias("key"))
+    made = F.array(
+        F.struct(F.lit(0).alias("kind"), F.xxhash64(F.lit("same"), "n", "at", "without").alias("key")),
+        F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit("less"), F.col("n") - 1, "without").alias("key")),
+    )
+    keys = words.filter(open_).select("k1", "k2", "first", F.inline(made))
     last = words.filter(F.col("at") == F.col("n") - 1)
     whole = last.select("k1", "k2", "first", F.lit(1).alias("kind"), F.xxhash64(F.lit("less"), "n", F.col("before").bitwiseXOR(F.col("here"))).alias("key"))
     return keys.unionByName(whole)
@@ -96,10 +100,11 @@ def find(docs: DataFrame, *, id_col="doc_id", text_col="text", least_words: int
 
     keys = _keys(worded)
     who = F.struct("first", "k1", "k2")
-    least = keys.groupBy("key").agg(F.min(F.when(F.col("kind") == 0, who)).alias("deleted"), F.min(F.when(F.col("kind") == 1, who)).alias("whole"), F.min("k1").alias("lo"), F.max("k1").alias("hi"))
-    least = materialize(least.filter("lo < hi").select("key", "deleted", "whole"), "lines-keys")
-    # a deletion meets deletions of its own kind of key, or whole lines; a whole line meets deletions
-    met = keys.join(least, "key").select("k1", "k2", "first", F.when(F.col("kind") == 1, F.col("deleted")).otherwise(F.least(F.col("whole"), F.when(F.col("whole").isNull(), F.col("deleted")))).alias("near"))
+    of_kind = lambda k: F.min(F.when(F.col("kind") == k, who)).alias(f"kind{k}")
+    least = keys.groupBy("key").agg(*map(of_kind, range(3)), F.min("k1").alias("lo"), F.max("k1").alias("hi"))
+    least = materialize(least.filter("lo < hi").drop("lo", "hi"), "lines-keys")
+    near = F.when(F.col("kind") == 0, F.col("kind0")).when(F.col("kind") == 1, F.col("kind2")).otherwise(F.col("kind1"))
+    met = keys.join(least, "key").select("k1", "k2", "first", near.alias("near"))
     pairs = met.filter(F.col("near.first") < F.col("first")).groupBy("k1", "k2").agg(F.min("near").alias("near"))
     pairs = pairs.select("k1", "k2", F.col("near.k1").alias("o1"), F.col("near.k2").alias("o2"))
     texts = worded.select("k1", "k2", "words")

@@ -147,17 +147,14 @@ def _round(rows: DataFrame) -> DataFrame:
     return rows.withColumn("copies", (whole + more).cast("long"))
 
 
-def repeat(docs: DataFrame, **options) -> DataFrame:
+def repeat(docs: DataFrame, *, id_col="doc_id", **options) -> DataFrame:
     """`docs` as the mix has them: each row as often as it has copies, all columns as they were.
 
-    Rows with the same id and source share the copies of one of them if they are the same size.
+    Rows that share an id (null ids too) share the most copies that one of them has.
     """
-    id_col, source_col, text_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("source_col", "source"), ("text_col", "text")))
-    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
-    copies = mix(keyed, **options | {"id_col": "_row", "source_col": source_col, "text_col": text_col}).filter("copies > 0").select("_row", "copies")
-    del id_col
-    out = keyed.join(copies, "_row")
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+    copies = mix(docs, id_col=id_col, **options).groupBy(F.col(id_col).alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
+    out = docs.join(copies, F.col(id_col).eqNullSafe(F.col("_id")))
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

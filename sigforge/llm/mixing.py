@@ -61,7 +61,7 @@ def tilt(cells: DataFrame, most: float = MOST_COPIES, tolerance: float = 1e-12,
     A step on the dual's source: (sum of tilted sizes - target) / (sum of those not at the cut).
     Sources whose target is 0 or whose documents have no words get a null lambda, for rate 0.
     """
-    spark_state = None
+    written = None
     state = cells.groupBy("source").agg(F.max("target").alias("target"), F.sum(F.col("size") * F.col("base")).alias("_base"))
     state = state.filter((F.col("target") > 0) & (F.col("_base") > 0)).select("source", "target", F.lit(0.0).alias("lambda"))
     for _ in range(most_steps):
@@ -77,14 +77,11 @@ def tilt(cells: DataFrame, most: float = MOST_COPIES, tolerance: float = 1e-12,
         step = F.when(F.col("_slope") > 0, gap / F.col("_slope")).otherwise(F.when(gap > 0, F.log(F.col("_sum") / F.col("target"))).otherwise(0.0))
         moved = materialize(sums.select("source", "target", (F.col("lambda") - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), step))).alias("lambda"), (F.abs(gap) / F.col("target")).alias("_gap"), (F.abs(step)).alias("_step")), "tilt")
         worst = moved.agg(F.max(F.least("_gap", "_step"))).first()[0]
-        if spark_state is not None:
-            discard(spark_state)
-        state = spark_state = moved
+        if written is not None:
+            discard(written)
+        written, state = moved, moved.select("source", "target", "lambda")
         if worst is None or worst <= tolerance:
             break
-        state = moved.select("source", "target", "lambda")
-        state._sigforge_path = moved._sigforge_path
-        spark_state = state
     return state.select("source", "lambda")
 
 

@@ -21,8 +21,6 @@ counted one by one by two 64-bit hashes, with partial sums before the shuffle.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession

@@ -140,7 +140,7 @@ _FIRST = f"""{_PIT}, cf AS (SELECT caseid, min(period) AS q FROM p GROUP BY 1),
 a AS (SELECT ingredient, pt, g, count(*) AS a FROM t JOIN grid ON q <= g GROUP BY 1, 2, 3), ab AS (SELECT ingredient, g, count(DISTINCT caseid) AS ab FROM t JOIN grid ON q <= g GROUP BY 1, 2),
 ac AS (SELECT pt, g, count(DISTINCT caseid) AS ac FROM t JOIN grid ON q <= g GROUP BY 1, 2), nn AS (SELECT g, count(*) AS n FROM cf JOIN grid ON q <= g GROUP BY 1),
 detected AS (SELECT ingredient, pt, CAST(min(g) AS INTEGER) AS first_period FROM a JOIN ab USING (ingredient, g) JOIN ac USING (pt, g) JOIN nn USING (g)
- WHERE a >= 3 AND log2((a + 0.5) / (CAST(ab AS DOUBLE) * ac / n + 0.5)) - 3.3 * pow(a + 0.5, -0.5) - 2 * pow(a + 0.5, -1.5) > -0.3 GROUP BY 1, 2)"""
+ WHERE a >= 3 AND log2((a + 0.5) / (CAST(ab AS DOUBLE) * ac / n + 0.5)) - 3.3 * pow(a + 0.5, -0.5) - 2 * pow(a + 0.5, -1.5) > -2.5 GROUP BY 1, 2)"""
 
 
 def _detected(spark, d):
@@ -150,7 +150,7 @@ def _detected(spark, d):
     nation = src.read(spark, d, "supplier").join(src.read(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey")).join(nation, F.col("l_suppkey") == F.col("s_suppkey"))
     rows = rows.select(F.expr("CAST(o_orderkey div 2 AS STRING)").alias("caseid"), F.element_at(F.split("p_name", " "), 2).alias("ingredient"), F.col("n_name").alias("pt"), (F.year("o_orderdate") * 4 + F.quarter("o_orderdate") - 1).alias("period"))
-    return lab.first_detection(rows, above=-0.3)
+    return lab.first_detection(rows, above=-2.5)
 
 
 @query(f"WITH {_FIRST} SELECT * FROM detected")

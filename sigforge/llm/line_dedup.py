@@ -26,9 +26,9 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row for each line: id, line (from 0), words, and two hashes of the words."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line", "_text"))
-    rows = rows.withColumn("words", F.regexp_extract_all("_text", F.lit(_WORDS), F.lit(0))).drop("_text")
+    """A row for each line: id, line (from 0), its text as written, words, and two hashes of the words."""
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("doc"), F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("line", "written"))
+    rows = rows.withColumn("words", F.regexp_extract_all("written", F.lit(_WORDS), F.lit(0)))
     return rows.withColumn("k1", F.xxhash64("words")).withColumn("k2", F.xxhash64(F.lit(1), "words"))
 
 
@@ -91,12 +91,15 @@ def find(docs: DataFrame, *, id_col="doc_id", text_col="text", least_words: int
     distinct = materialize(distinct, "lines-distinct")
 
     long_ = distinct.filter(F.col("n") >= least_words)
-    halves = long_.select("k1", "k2", F.explode(F.array(*(F.struct(F.col(f"h{k}").alias("h"), F.lit(1 + k % 2).alias("end")) for k in range(4)))).alias("x")).select("k1", "k2", "x.h", "x.end")
+    ends_of = F.array_distinct(F.array(*(F.struct(F.col(f"h{k}").alias("h"), F.lit(1 + k % 2).alias("end")) for k in range(4))))  # equal for odd lengths
+    halves = long_.select("k1", F.explode(ends_of).alias("x")).select("k1", "x.h", "x.end")
     shared = halves.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").select("h")
-    ends = halves.join(shared, "h").groupBy("k1", "k2").agg(F.bit_or("end").alias("ends"))
-    open_ = materialize(ends.join(distinct.select("k1", "k2", "first"), ["k1", "k2"]), "lines-open")
-    words = _lines(docs, id_col, text_col).filter(F.size("words") >= least_words).select("k1", "k2", "words")
-    worded = materialize(words.join(open_.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).join(open_, ["k1", "k2"]), "lines-words")
+    ends = halves.join(shared, "h").groupBy("k1").agg(F.bit_or("end").alias("ends"))
+    open_ = materialize(ends.join(distinct.select("k1", "k2", "first"), "k1"), "lines-open")
+    # the line's text is shuffled, which is a third of its words as an array
+    written = _lines(docs, id_col, text_col).filter(F.size("words") >= least_words).select("k1", "k2", "written")
+    found = written.join(open_.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).join(open_, ["k1", "k2"])
+    worded = materialize(found.withColumn("words", F.regexp_extract_all("written", F.lit(_WORDS), F.lit(0))).drop("written"), "lines-words")
 
     keys = _keys(worded)
     who = F.struct("first", "k1", "k2")

@@ -1,11 +1,13 @@
 """License scans (operator 10): an exact set-similarity join of text blocks with templates. DataFrame functions only.
 
-A template of L words meets the blocks of 2 L words that start at every L-th word, so that any run of
-L words lies in one block whole. A block contains a template if it has at least the template's share of its distinct tokens.
-Tokens are ordered by their frequency in the whole corpus, the rarest first. To reach the
-share a block must have one of the template's first n - need + 1 tokens (prefix filter), enough words
+A template of L words meets the blocks of 2 L words that start at every word, so that its position in a text
+doesn't matter. A block contains a template if it has at least the template's share of its distinct tokens.
+Blocks are found by stretches of 3 L words that start at every L-th word: each block lies whole in the one
+it starts in the first third of.
+Tokens are ordered by their frequency in the whole corpus, the rarest first. To hold a block that reaches the
+share a stretch must have one of the template's first n - need + 1 tokens (prefix filter), enough words
 (length filter), and after its first common token enough tokens must be left in the order (positional
-filter); only such blocks are counted out. Templates are code, a few hundred tokens; tokens of texts
+filter); only such stretches are counted out, and where they have the share, their blocks from every listed word. Templates are code, a few hundred tokens; tokens of texts
 that have none of the prefixes aren't even listed.
 
 Phrases are templates that need all their tokens; the blocks found are then searched for the places where the
@@ -106,15 +108,17 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", notices=NOTICES,
     base = materialize(base, "licenses")
 
     hits = base.filter("hits IS NOT NULL").select("_row", "n_words", F.explode("hits").alias("h")).select("_row", "n_words", "h.at", "h.token")
-    in_blocks = hits.join(parts, "token").withColumn("block", F.explode(F.array_distinct(F.array(F.greatest(F.lit(0), (F.col("at") / F.col("span")).cast("int") - 1), (F.col("at") / F.col("span")).cast("int")))))
-    long_enough = F.least(F.col("n_words") - F.col("block") * F.col("span"), 2 * F.col("span")) >= F.col("need")
-    candidates = in_blocks.filter(F.col("prefix") & long_enough).groupBy("_row", "template", "block").agg(F.min("place").alias("first"))
-    counted = (
-        in_blocks.join(candidates, ["_row", "template", "block"])
+    third = (F.col("at") / F.col("span")).cast("int")
+    in_stretches = hits.join(parts, "token").withColumn("stretch", F.explode(F.sequence(F.greatest(F.lit(0), third - 2), third)))
+    long_enough = F.least(F.col("n_words") - F.col("stretch") * F.col("span"), 2 * F.col("span")) >= F.col("need")
+    candidates = in_stretches.filter(F.col("prefix") & long_enough).groupBy("_row", "template", "stretch").agg(F.min("place").alias("first"))
+    listed_in = (
+        in_stretches.join(candidates, ["_row", "template", "stretch"])
         .filter(F.col("n") - F.col("first") >= F.col("need"))
-        .groupBy("_row", "template", "block", "label", "phrase", "n", "need", "span").agg(F.count_distinct("token").alias("common"))
-        .filter("common >= need")
+        .groupBy("_row", "template", "stretch", "label", "phrase", "n", "need", "span").agg(F.collect_list(F.struct("at", "place")).alias("words"))
+        .filter(F.size(F.array_distinct("words.place")) >= F.col("need"))
     )
+    counted = listed_in.withColumn("common", F.array_max(_commons("words", "span", (F.col("stretch") + 1) * F.col("span")))).filter("common >= need")
     found = counted.groupBy("_row", "template", "label", "phrase").agg(F.max(F.col("common") / F.col("n")).alias("share"))
     found = materialize(found, "licenses-found")
 
@@ -138,6 +142,16 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", notices=NOTICES,
     )
 
 
+def _commons(words: str, span: str, end):
+    """Distinct tokens of the block of two spans from each word before `end`; at most three spans of words are given."""
+
+    def common(start):
+        block = F.filter(words, lambda x: (x["at"] >= start["at"]) & (x["at"] < start["at"] + 2 * F.col(span)))
+        return F.size(F.array_distinct(F.transform(block, lambda x: x["place"])))
+
+    return F.transform(F.filter(words, lambda x: x["at"] < end), common)
+
+
 def _places(phrase: Template):
     """Where a phrase's words stand one after the other; all of them are listed, so they are neighbours in `hits`."""
     n = len(phrase.words)

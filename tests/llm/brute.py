@@ -87,3 +87,12 @@ def line_drops(docs, least=5):
         if w:
             kept.append(w)
     return out
+
+
+def license_shares(text, templates):
+    """Label and best share of every template that a block of twice its length, from any word, contains."""
+    w, out = letters(text), []
+    for t in templates:
+        n = max((len(set(w[i : i + 2 * len(t.words)]) & set(t.words)) for i in range(len(w))), default=0)
+        out += [(t.label, n / len(t.tokens))] if n >= t.need else []
+    return out

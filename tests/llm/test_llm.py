@@ -174,6 +174,25 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, [])).collect() == []
 
 
+def test_licenses_equal_brute_force_at_every_position(spark):
+    rng = random.Random(3)
+    rows = [(k, "x " * k + "Released under the terms of the MIT License" + " y" * 9) for k in range(12)]
+    notices = [letters for _, letters in licenses.NOTICES]
+    for d in range(100, 300):  # notices stretched and thinned
+        text = brute.letters(rng.choice(notices))
+        for _ in range(rng.randrange(len(text) + 2)):
+            text.insert(rng.randrange(len(text) + 1), rng.choice(("x", "the", "of")))
+        if rng.random() < 0.3:
+            del text[rng.randrange(len(text))]
+        rows.append((d, "x " * rng.randrange(40) + " ".join(text) + " y" * rng.randrange(40)))
+    known = [t for t in licenses.templates() if not t.phrase]
+    for r in licenses.scan(frame(spark, rows)).collect():
+        share, labels = brute.license_shares(dict(rows)[r.doc_id], known), set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == labels | {label for label, _ in share}
+        assert r.score == pytest.approx(max([s for _, s in share] + [1.0] * (r.n_base > 0), default=0.0))
+        assert r.doc_id >= 12 or "mit" in r.labels.split(",")
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     docs = []

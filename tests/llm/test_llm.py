@@ -235,6 +235,32 @@ def test_html(spark):
     assert set(out.columns) == {"page_id", "html", "text", "level"} and html_text.extract(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        "<div class='layout has-sidebar'>{}</div>", "<body class=x><div class='no-comments'>{}</div>", "<div class='search-result-page'>{}</div>", "<form>{}</form>", "<head><title>T</title>{}",
+        "<head><meta charset=utf-8><body>{}", "<div><button>Go{}</div>", "<noscript>{}", "<div><svg><path d=1>{}</div>", "<body><div class='sidebar'><p>Short.</p></div><div class='search-page'>{}</div>",
+    ],
+)
+@pytest.mark.parametrize("box", ["article", "div"])
+def test_html_keeps_wrapped_text(wrap, box):
+    said = [f"Sentence {k} of a text that says a good deal about it." for k in range(6)]
+    text = html_text.main_text(wrap.format(f"<{box}>" + "".join(f"<p>{x}</p>" for x in said) + f"</{box}>"))
+    assert [x for x in text.split("\n") if x.startswith("Sentence")] == said and "Short." not in text
+
+
+def test_html_keeps_sections_links_and_headings():
+    p = "<p>A paragraph that says a good deal about the matter.</p>" * 3
+    inside = html_text.main_text(f"<article><div class='post-header'><h1>Head</h1></div>{p}<section id='side-effects'><p>Nausea.</p></section><ul><li><a href=1>Source one</a></ul><div class=comments>{p}</div></article>")
+    assert inside.split("\n")[0] == "Head" and "Nausea." in inside and "Source one" in inside and inside.count("A paragraph") == 3
+    beside = html_text.main_text(f"<body><nav><a href=1>Home</a></nav><div><h1>Head</h1><div>{p}</div></div><div class=comments>{p * 4}</div><footer>me</footer>")
+    assert beside.split("\n")[0] == "Head"
+    heavy = html_text.main_text(f"<article>{p}</article><section class=comments>" + f"<article><p>Reader</p>{p}</article>" * 9 + "</section>")
+    assert heavy.count("A paragraph") == 3 and "Reader" not in heavy
+    replies = "<div class=comments>" + f"<article><p>Reader</p>{p}</article>" * 2 + "</div>"
+    assert "Reader" not in html_text.main_text(f"<div>{p}</div>{replies}")
+
+
 def test_code_round_trip():
     rng = np.random.default_rng(8)
     for n in (0, 1, 2, 3, 4, 5, 1001):

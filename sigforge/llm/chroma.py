@@ -3,7 +3,9 @@
 A recording (WAV bytes) becomes frames of twelve pitch classes: spectra of overlapping windows,
 folded over octaves and normalised. Sixteen filters compare rectangles of the frames through an integral image; each gives
 two bits by the logarithm of the ratio, together an integer of 32 bits for each frame. Two recordings are aligned by the histogram of
-the offsets of their equal integers; at the best offset the share of differing bits decides.
+the offsets of their equal integers; at each offset with enough of them, the most first, the share of differing bits decides.
+Any overlap of ``LEAST_OVERLAP`` places will do; one of less than half of the shorter recording needs equal integers
+of ``LEAST_COMMON`` different values, so that silence alone doesn't align an end with a start.
 
 The index of a search holds a block of at most ``BLOCK_QUERIES`` distinct query fingerprints, which is broadcast; every
 distinct fingerprint is matched with it in one narrow pass for each block.
@@ -144,17 +146,22 @@ class Index:
         reach = np.int64(1 << 24)
         key, count = np.unique(self.query[at] * (2 * reach) + (here - self.place[at]) + reach, return_counts=True)
         query, offset = key // (2 * reach), key % (2 * reach) - reach
+        query, offset, count = (x[count >= LEAST_COMMON] for x in (query, offset, count))
         by = np.lexsort((offset, np.abs(offset), -count, query))
-        first = by[np.concatenate([[True], query[by][1:] != query[by][:-1]])] if len(by) else by
-        out = []
-        for q, o, c in zip(query[first].tolist(), offset[first].tolist(), count[first].tolist(), strict=True):
+        out, matched = [], -1
+        for q, o in zip(query[by].tolist(), offset[by].tolist(), strict=True):
+            if q == matched:
+                continue
             other = self.fingerprints[q]
             a, z = max(0, o), min(len(fingerprint), len(other) + o)
-            if c < LEAST_COMMON or z - a < max(LEAST_OVERLAP, min(len(fingerprint), len(other)) // 2):
+            if z - a < LEAST_OVERLAP:
+                continue
+            x, y = fingerprint[a:z], other[a - o : z - o]
+            errors = int(np.bitwise_count(x ^ y).sum()) / (32 * (z - a))
+            if errors > MOST_ERRORS or z - a < min(len(fingerprint), len(other)) // 2 and len(np.unique(x[x == y])) < LEAST_COMMON:
                 continue
-            errors = int(np.bitwise_count(fingerprint[a:z] ^ other[a - o : z - o]).sum()) / (32 * (z - a))
-            if errors <= MOST_ERRORS:
-                out.append((q, o, errors))
+            out.append((q, o, errors))
+            matched = q
         return out
 
 

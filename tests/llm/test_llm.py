@@ -354,6 +354,19 @@ def test_chroma(spark):
     assert chroma.search(prints.limit(0), prints.limit(0)).collect() == []
 
 
+def test_chroma_aligns_any_overlap():
+    rng = np.random.default_rng(12)
+    a, b = (rng.integers(0, 1 << 32, 300, dtype=np.uint32) for _ in range(2))
+    b[:60] = a[240:]  # the end of one, the start of the other
+    assert chroma.Index([a]).align(b) == [(0, -240, 0.0)] and chroma.Index([b]).align(a) == [(0, 240, 0.0)]
+    c = rng.integers(0, 1 << 32, 300, dtype=np.uint32)
+    c[:60], c[100:170:2] = a[240:], a[100:170:2]  # more equal codes at an offset that fails
+    assert chroma.Index([a]).align(c) == [(0, -240, 0.0)]
+    d, e = (rng.integers(0, 1 << 32, 300, dtype=np.uint32) for _ in range(2))
+    d[280:] = e[:20] = 7
+    assert chroma.Index([d]).align(e) == []
+
+
 def test_registry_and_pipeline(spark, tmp_path):
     import corpus_pipeline
 

@@ -7,17 +7,17 @@
    1 to 4 bytes each, their lengths stand apart in control bytes, four to a byte.
 4. Files are read back block by block; lengths come from a table of 256 control bytes.
 
-A file is written under a temporary name and renamed, under a name that depends on the partition
-only; a task that runs again after the loss of an executor replaces it by the same bytes.
+Every attempt of a task writes a file of its own name; the table of shards, which has a row from the attempt that Spark
+committed only, lists the files that count, and the others are deleted at the end.
 """
 
 from __future__ import annotations
 
 import json
 import struct
-import unicodedata
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -34,7 +34,8 @@ from .common import materialize, rows_of, shared_dir, table, utf8
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-CACHED = 250_000
+#: Words of each of two generations of the cache; an entry takes about 200 bytes.
+CACHED = 300_000
 
 MAGIC = b"SFTOK001"
 _HEADER = struct.Struct("<QQQQ")  # documents, ids, control bytes, data bytes
@@ -76,15 +77,37 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 # --- tokenizing -------------------------------------------------------------------------------
 
-_PLAIN = regex.compile("[\x21-\x7e\xa1-ſ]+")
-_WORDS_APART = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PLAIN = regex.compile("[\x21-\x7e\xa1-ſ]+")  # normal forms of themselves, and no white space
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def _word_pattern(conf: dict) -> str | None:
+    """The pattern of the pieces, if the tokenizer's settings make every word between white space independent of the others.
+
+    They do if white space becomes spaces, only matches of a pattern that no space matches are kept, and no added
+    token reaches beyond a word.
+    """
+    pre = (conf.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if (conf.get("normalizer") or {}).get("normalizers") != _NORMALIZERS or [p.get("type") for p in pre] != ["Split", "ByteLevel"]:
+        return None
+    split, level = pre
+    pattern = (split.get("pattern") or {}).get("Regex")
+    if not pattern or not split.get("invert") or split.get("behavior") != "Removed" or level.get("use_regex") or level.get("add_prefix_space"):
+        return None
+    # each alternative: letters, a class of one kind of character, or all but white space and these
+    if not all(regex.fullmatch(r"'[a-z]+|\[\\p\{[LN]\}\]\+?|\[\^\\s\\p\{L\}\\p\{N\}\]\+?", x) for x in pattern.split("|")):
+        return None
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or t["content"].split() != [t["content"]] for t in conf.get("added_tokens") or ()):
+        return None
+    return None if conf.get("truncation") or conf.get("padding") else pattern
 
 
 class Words:
     """A tokenizer with a cache of what lies between white space, where that gives the same ids.
 
-    A tokenizer of which words are independent (as a probe shows) encodes every word once; what it does to plain
-    words is done here, so that the library only runs its model. Any other tokenizer encodes whole texts.
+    Where the tokenizer's settings make words independent, every word is encoded once; what the settings do to plain
+    words is done here, so that the library only runs its model. Any other tokenizer encodes whole texts. The cache has two
+    generations of ``CACHED`` words each: when the younger one is full, the older one goes.
     """
 
     def __init__(self, spec: str):
@@ -92,13 +115,12 @@ class Words:
         conf = json.loads(spec)
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.apart = self._words_apart()
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.special = tuple(t["content"] for t in conf.get("added_tokens") or ())
-        pre = (conf.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        plain = conf.get("normalizer") == _WORDS_APART and [p.get("type") for p in pre] == ["Split", "ByteLevel"] and not pre[1].get("use_regex") and not pre[1].get("add_prefix_space")
-        self.split = regex.compile(pre[0]["pattern"]["Regex"]).findall if plain and pre[0].get("invert") and pre[0].get("behavior") == "Removed" else None
+        pattern = _word_pattern(conf)
+        self.split = regex.compile(pattern).findall if pattern else None
+        self.tokenize = self.tokenizer.model.tokenize
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet's own bytes; the others follow from 256 on
         rest = iter(range(256, 512))
         self.alphabet = {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
@@ -106,38 +128,43 @@ class Words:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _words_apart(self) -> bool:
-        probes = ("one two", " one\n\ttwo ", "a'b 'll x", "über 12 3a", "x, y.\r\nz", "tail  \f", "\v")
-        return all(self._ids(p) == [i for w in p.split() for i in self._ids(w)] for p in probes)
-
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if self.split and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            if not text.isascii():
-                text = unicodedata.normalize("NFC", text)
-            out = b"".join(self.pieces.get(p) or self._piece(p) for p in self.split(text.lower()))
+        if (text.isascii() and text.isalpha() or _PLAIN.fullmatch(text)) and not any(s in text for s in self.special):
+            text = text.lower()
+            if not text.isalpha():
+                ids = [t.id for p in self.split(text) for t in self.tokenize(self._level(p))]
+            else:
+                ids = [t.id for t in self.tokenize(self._level(text))]
         else:
-            out = np.array(self._ids(text), self.kind).tobytes()
-        if len(self.words) < CACHED and len(word) <= 64:
-            self.words[word] = out
-        return out
+            ids = self._ids(text)
+        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-        out = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], self.kind).tobytes()
-        if len(self.pieces) < CACHED and len(piece) <= 64:
-            self.pieces[piece] = out
+    def _level(self, piece: str) -> str:
+        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+
+    def _find(self, word: bytes) -> bytes:
+        """The ids of a word that the younger cache didn't have when its text was split."""
+        out = self.young.get(word)
+        if out is None:
+            out = self.old.get(word)
+            if out is None:
+                out = self._word(word)
+            if len(word) <= 64:
+                if len(self.young) >= CACHED:
+                    self.young, self.old = {}, self.young
+                self.young[word] = out
         return out
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.apart:
+        if not self.split:
             return np.array(self._ids(text), self.kind).tobytes()
         words = utf8(text).split()
-        found = list(map(self.words.get, words))
+        found = list(map(self.young.get, words))
         if None in found:
-            found = [self._word(w) if f is None else f for f, w in zip(found, words, strict=True)]
+            found = [self._find(w) if f is None else f for f, w in zip(found, words, strict=True)]
         return b"".join(found)
 
 
@@ -164,20 +191,23 @@ def tokenize(docs: DataFrame, spec: str, id_col: str, text_col: str, end_id: int
         counts = np.zeros(max(words.size, end_id + 1), np.int64)
         names = ["doc", "n", "ids", "counts"]
         types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        rows, size = [], 0
+        rows, size, own = [], 0, []
 
         def batch():
+            counts[:] += np.bincount(np.frombuffer(b"".join(own), words.kind), minlength=len(counts))
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
         for doc, text in rows_of(batches, (id_col, text_col)):
             ids = words.encode(text) + end
-            counts += np.bincount(np.frombuffer(ids, words.kind), minlength=len(counts))
+            own.append(ids)
             rows.append((doc, len(ids) // words.kind.itemsize, pack(ids), None))
             size += len(ids)
             if len(rows) >= 1000 or size > 8 << 20:
                 yield batch()
-                rows, size = [], 0
-        rows.append((None, None, None, pack(counts.tobytes())))
+                rows, size, own = [], 0, []
+        if rows:
+            yield batch()
+        rows, own = [(None, None, None, pack(counts.tobytes()))], []
         yield batch()
 
     return materialize(docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, "doc long, n long, ids binary, counts binary"), "tokens")
@@ -213,7 +243,7 @@ def _block(docs: list, counts: list[int], values: np.ndarray) -> bytes:
 
 
 def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> DataFrame:
-    """One file for each range of document ids; a row for each file: shard, file, n_docs, n_ids.
+    """One file for each range of document ids; a row for each file: shard, file, n_docs, n_ids. `path` holds no other output.
 
     Documents with equal ids are ordered by their ids' bytes, null document ids come first.
     """
@@ -225,14 +255,14 @@ def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> Da
         rank, unpack = value.value, zstandard.ZstdDecompressor()
         shard = TaskContext.get().partitionId()
         fs, folder = _open(path)
-        name, part = f"{folder}/ids-{shard:06d}.bin", f"{folder}/.ids-{shard:06d}.{uuid.uuid4().hex}"
+        name = f"{folder}/ids-{shard:06d}-{uuid.uuid4().hex}.bin"
         n_docs = n_ids = 0
         out = None
         docs, counts, parts, size = [], [], [], 0
         for doc, packed in rows_of(batches, ("doc", "ids")):
             if out is None:
                 fs.create_dir(folder, recursive=True)
-                out = fs.open_output_stream(part)
+                out = fs.open_output_stream(name)
                 out.write(MAGIC)
             ids = np.frombuffer(unpack.decompress(packed), kind)
             docs.append(doc)
@@ -247,7 +277,6 @@ def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> Da
             if docs:
                 out.write(_block(docs, counts, np.concatenate(parts)))
             out.close()
-            fs.move(part, name)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int64()), (name.rsplit("/", 1)[1], pa.string()), (n_docs, pa.int64()), (n_ids, pa.int64()))], names=["shard", "file", "n_docs", "n_ids"])
 
     parts = tokenized.filter("ids IS NOT NULL").select("doc", "ids").repartitionByRange("doc").sortWithinPartitions("doc", "ids")
@@ -256,6 +285,10 @@ def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> Da
     fs.create_dir(folder, recursive=True)
     with fs.open_output_stream(f"{folder}/ranks.bin") as f:
         f.write(by_rank.astype("<u4").tobytes())
+    listed = {r.file for r in shards.select("file").toLocalIterator()}
+    for info in fs.get_file_info(pyarrow.fs.FileSelector(folder)):
+        if info.base_name.startswith("ids-") and info.base_name not in listed:
+            fs.delete_file(info.path)
     return shards
 
 

@@ -34,7 +34,7 @@ from .common import materialize, rows_of, shared_dir, table, utf8
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-#: Words of each of two generations of the cache; an entry takes about 200 bytes.
+#: Entries of each of two generations of a cache, of about 200 bytes.
 CACHED = 300_000
 
 MAGIC = b"SFTOK001"
@@ -81,23 +81,23 @@ _PLAIN = regex.compile("[\x21-\x7e\xa1-ſ]+")  # normal forms of themselves, and
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
-def _word_pattern(conf: dict) -> str | None:
-    """The pattern of the pieces, if the tokenizer's settings make every word between white space independent of the others.
+def _pieces(conf: dict) -> str | None:
+    """The pattern of the pieces of a word, if the tokenizer's settings make every word between white space independent of the others.
 
     They do if white space becomes spaces, only matches of a pattern that no space matches are kept, and no added
-    token reaches beyond a word.
+    token reaches beyond a word. The pattern is known if it has endings after an apostrophe, runs of letters, digits and runs of anything else.
     """
     pre = (conf.get("pre_tokenizer") or {}).get("pretokenizers") or []
     if (conf.get("normalizer") or {}).get("normalizers") != _NORMALIZERS or [p.get("type") for p in pre] != ["Split", "ByteLevel"]:
         return None
     split, level = pre
-    pattern = (split.get("pattern") or {}).get("Regex")
-    if not pattern or not split.get("invert") or split.get("behavior") != "Removed" or level.get("use_regex") or level.get("add_prefix_space"):
+    pattern = (split.get("pattern") or {}).get("Regex") or ""
+    if not split.get("invert") or split.get("behavior") != "Removed" or level.get("use_regex") or level.get("add_prefix_space"):
         return None
-    # each alternative: letters, a class of one kind of character, or all but white space and these
-    if not all(regex.fullmatch(r"'[a-z]+|\[\\p\{[LN]\}\]\+?|\[\^\\s\\p\{L\}\\p\{N\}\]\+?", x) for x in pattern.split("|")):
+    if not regex.fullmatch(r"('[a-z]+\|)*\[\\p\{L\}\]\+\|\[\\p\{N\}\]\+?\|\[\^\\s\\p\{L\}\\p\{N\}\]\+", pattern):
         return None
-    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or t["content"].split() != [t["content"]] for t in conf.get("added_tokens") or ()):
+    added = conf.get("added_tokens") or ()
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or len(t["content"].split()) != 1 or t["content"].isalnum() for t in added):
         return None
     return None if conf.get("truncation") or conf.get("padding") else pattern
 
@@ -106,8 +106,8 @@ class Words:
     """A tokenizer with a cache of what lies between white space, where that gives the same ids.
 
     Where the tokenizer's settings make words independent, every word is encoded once; what the settings do to plain
-    words is done here, so that the library only runs its model. Any other tokenizer encodes whole texts. The cache has two
-    generations of ``CACHED`` words each: when the younger one is full, the older one goes.
+    words is done here, so that the library only runs its model. Any other tokenizer encodes whole texts. The caches of words and of
+    their pieces have two generations of ``CACHED`` entries each: when the younger one is full, the older one goes.
     """
 
     def __init__(self, spec: str):
@@ -115,11 +115,14 @@ class Words:
         conf = json.loads(spec)
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.special = tuple(t["content"] for t in conf.get("added_tokens") or ())
-        pattern = _word_pattern(conf)
+        self.pieces: dict[bytes, bytes] = {}
+        self.old_pieces: dict[bytes, bytes] = {}
+        pattern = _pieces(conf)
         self.split = regex.compile(pattern).findall if pattern else None
+        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in conf.get("added_tokens") or ()) or "(?!)").search
         self.tokenize = self.tokenizer.model.tokenize
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet's own bytes; the others follow from 256 on
         rest = iter(range(256, 512))
@@ -128,33 +131,27 @@ class Words:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _piece(self, piece: bytes) -> bytes:
+        """The ids of a lower-case piece, which the words of many forms have."""
+        out = self.pieces.get(piece) or self.old_pieces.get(piece)
+        if out is None:
+            mapped = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.alphabet)
+            out = array(self.code, [t.id for t in self.tokenize(mapped)]).tobytes()
+        if len(piece) <= 64:
+            self.pieces[piece] = out
+        return out
+
     def _word(self, word: bytes) -> bytes:
+        core = word.rstrip(b".,!?;:")
+        if core.isalpha():  # ASCII letters, and signs that don't begin an added token
+            core = core.lower()
+            out = self.pieces.get(core) or self._piece(core)
+            return out if len(core) == len(word) else out + self._piece(word[len(core) :])
         text = word.decode("utf-8", "replace")
-        if (text.isascii() and text.isalpha() or _PLAIN.fullmatch(text)) and not any(s in text for s in self.special):
+        if _PLAIN.fullmatch(text) and not self.special(text):
             text = text.lower()
-            if not text.isalpha():
-                ids = [t.id for p in self.split(text) for t in self.tokenize(self._level(p))]
-            else:
-                ids = [t.id for t in self.tokenize(self._level(text))]
-        else:
-            ids = self._ids(text)
-        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
-
-    def _level(self, piece: str) -> str:
-        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-
-    def _find(self, word: bytes) -> bytes:
-        """The ids of a word that the younger cache didn't have when its text was split."""
-        out = self.young.get(word)
-        if out is None:
-            out = self.old.get(word)
-            if out is None:
-                out = self._word(word)
-            if len(word) <= 64:
-                if len(self.young) >= CACHED:
-                    self.young, self.old = {}, self.young
-                self.young[word] = out
-        return out
+            return self._piece(text.encode()) if text.isalpha() else b"".join([self._piece(p.encode()) for p in self.split(text)])
+        return array(self.code, self._ids(text)).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -164,7 +161,16 @@ class Words:
         words = utf8(text).split()
         found = list(map(self.young.get, words))
         if None in found:
-            found = [self._find(w) if f is None else f for f, w in zip(found, words, strict=True)]
+            young, old, word = self.young, self.old.get, self._word
+            for k in [k for k, f in enumerate(found) if f is None]:
+                w = words[k]
+                found[k] = out = old(w) or word(w)
+                if len(w) <= 64:
+                    young[w] = out
+            if len(young) >= CACHED:
+                self.young, self.old = {}, young
+            if len(self.pieces) >= CACHED:
+                self.pieces, self.old_pieces = {}, self.pieces
         return b"".join(found)
 
 

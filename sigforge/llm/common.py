@@ -27,10 +27,13 @@ _own_dir: list[str] = []
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below spark.checkpoint.dir, which the whole cluster sees.
 
-    Where the setting is absent (tests, a single machine) a temporary folder takes its place.
+    Where the setting is absent a temporary folder takes its place if the master is local; on a cluster, whose
+    machines don't share one, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="sigforge-"))
         base = _own_dir[0]
@@ -55,6 +58,17 @@ def discard(df: DataFrame) -> None:
         hadoop_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
 
 
+def fresh(columns, *names: str) -> list[str]:
+    """The names, lengthened so that none is among the columns (case doesn't count)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -214,10 +214,38 @@ def test_toxicity(spark):
 
 
 def test_toxicity_exceptions_and_folding():
-    model = toxicity.Model({" bad": 9.0}, [" badger "], -4.0, 0.0)
+    model = toxicity.Model({" bad": 9.0}, [" badger ", " not bad ", " bad at aii "], -4.0)
     a = model.automaton()
     assert [s > 0.5 for s in model.scores(["bad", "b4d!", "a BADGER ran", "badger bad", "ｂａｄ", "ваd bad", None], a)] == [True, True, False, True, True, True, False]
-    assert toxicity.fold("") == toxicity.fold(None) == " "
+    assert toxicity.fold("") == toxicity.fold(None) == toxicity.fold(" .. ") == " "
+    assert toxicity.fold("SCUM!! a|b, 1!fe | x") == " scum aib iife x "
+    assert [s > 0.5 for s in model.scores(["that is not  bad.", "bad, at all", "a bad at one", "not badly"], a)] == [False, False, True, True]
+    assert model.scores(["bad " + "x " * 2000], a)[0] < 0.5 < model.scores(["bad x " * 1000], a)[0]  # by length, and each repeat counts
+    many = "bad badger " * 40_000
+    assert len(toxicity.matches(toxicity.fold(many), a)[0]) == 40_000
+
+
+def test_toxicity_labels_without_documents(spark):
+    docs = frame(spark, [(1, "one two three"), (2, "four five six")])
+    labels = frame(spark, [(k, k % 2) for k in range(100, 200)], "doc_id long, toxic int")
+    assert [r.predicted for r in toxicity.score(docs, labels).collect()] == [0, 0]
+
+
+def test_toxicity_learns_exceptions(spark):
+    rng = random.Random(8)
+    rows = []
+    for d in range(600):
+        w = words(rng, 30)
+        if d % 6 == 0:
+            w[5] = w[20] = "vile"
+        elif d % 60 == 1:
+            w[5:7] = ["vile", "weather"]
+        rows.append((d, " ".join(w), int(d % 6 == 0)))
+    labels = frame(spark, [(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, [r[:2] for r in rows]), labels)
+    a = model.automaton()
+    got = model.scores([t for _, t, _ in rows], a)
+    assert " viie weather " in model.exceptions and all((s >= 0.5) == y for s, (_, _, y) in zip(got, rows, strict=True))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x="<p>no</p>";</script></head><body><header><h1>Site</h1></header><nav><ul><li><a href=1>Home</a></ul></nav>

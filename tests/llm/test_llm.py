@@ -12,7 +12,7 @@ import brute  # noqa: E402
 from sigforge.llm import chroma, components, decontaminate, html_text, licenses, line_dedup, minhash, mixing, registry, suffix_dedup, tokens, toxicity  # noqa: E402
 
 #: Columns whose names the operators also use inside.
-CLASH = "doc_id long, text string, id long, doc string, words string, sig string, key string, source string, rate string, copies string, size string, line int, _row int"
+CLASH = "doc_id long, text string, id long, doc string, words string, sig string, key string, source string, rate string, copies string, size string, line int, _row int, _copies string, _rows string, _text string, _id string, _score string, _spans string, _items string, _n_words string, dropped string, _doc string, _gone string"
 
 
 def frame(spark, rows, schema="doc_id long, text string"):
@@ -20,7 +20,7 @@ def frame(spark, rows, schema="doc_id long, text string"):
 
 
 def clashing(spark, rows):
-    return frame(spark, [(d, t, 1, "x", "x", "x", "x", None if d is None else f"s{d % 3}", "x", "x", "x", 0, 0) for d, t in rows], CLASH)
+    return frame(spark, [(d, t, 1, "x", "x", "x", "x", None if d is None else f"s{d % 3}", "x", "x", "x", 0, 0, *["x"] * 12) for d, t in rows], CLASH)
 
 
 def words(rng, n, vocabulary=300):
@@ -356,6 +356,34 @@ def test_mixing(spark):
     assert mixing.mix(df.limit(0)).collect() == []
 
 
+def test_mixing_rates_solve_the_dual(spark):
+    rng = random.Random(19)
+    rows = [(k, "w " * int(rng.lognormvariate(4, 1.5)), f"s{k % 5 % 3}", rng.choice((0.2, 1.0, 3.0, 0.0, None))) for k in range(3000)]
+    df = frame(spark, rows, "doc_id long, text string, source string, base double")
+    for column, base in (("base", lambda n, b: b or 0.0), (None, lambda n, b: n / (n + mixing.FRAGMENT))):
+        got = mixing.mix(df, base_col=column, share=0.7).collect()
+        of = {r[0]: base(len(r[1].split()), r[3]) for r in rows}
+        for source in ("s0", "s1", "s2"):
+            part = [r for r in got if r.source == source and r.size > 0]
+            size, b, target = np.array([r.size for r in part], float), np.array([of[r.doc_id] for r in part]), part[0].target
+            lo, hi = -20.0, 20.0
+            for _ in range(200):
+                mid = (lo + hi) / 2
+                lo, hi = (mid, hi) if (size * np.minimum(2, b * np.exp(mid))).sum() < target else (lo, mid)
+            rate = np.minimum(2, b * np.exp(lo))
+            large = size > 1024  # their rates are those of the whole dual; base rates are in steps of 1/64 of the logarithm
+            assert np.allclose(np.array([r.rate for r in part])[large], rate[large], rtol=0.02, atol=1e-9)
+            assert np.allclose([r.rate for r in part], rate, rtol=0.15, atol=1e-9)  # corrected for what rounding missed
+            assert abs(sum(r.taken for r in part) - target) <= 0.01 * target and all(abs(r.copies - r.rate) < 1 for r in part)
+
+
+def test_mixing_repeats_rows_that_share_ids(spark):
+    df = clashing(spark, [(None, f"a b {k % 20}") for k in range(40)] + [(7, f"x y {k}") for k in range(40)])
+    out = mixing.repeat(df)
+    assert out.columns == df.columns and out.count() == pytest.approx(1.5 * 80, abs=3)
+    assert out.filter("doc_id = 7").groupBy("text").count().filter("count > 2").isEmpty()
+
+
 def test_mixing_repeats_documents(spark):
     df = clashing(spark, [(k, "a b c") for k in range(30)])
     out = mixing.repeat(df)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import fresh, materialize, table
 
 #: Shorter lines are removed only if equal.
 LEAST_WORDS = 5
@@ -125,11 +125,11 @@ def find(docs: DataFrame, *, id_col="doc_id", text_col="text", least_words: int
 
 def remove(docs: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
     """`docs` with the dropped lines left out of the text, which keeps its other lines as they were."""
-    found = find(docs, id_col=id_col, text_col=text_col, **options).filter(F.size("dropped") > 0).select(F.col("doc").alias("_doc"), "dropped").dropDuplicates(["_doc"])
-    joined = docs.withColumn("_key", F.xxhash64(F.col(id_col), F.col(text_col))).join(found, F.col("_key") == F.col("_doc"), "left")
-    lines = F.split(text_col, "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("dropped", i)), "\n")
-    text = F.when(F.col("dropped").isNull(), F.col(text_col)).otherwise(left)
+    key, gone = fresh(docs.columns, "_doc", "_dropped")
+    found = find(docs, id_col=id_col, text_col=text_col, **options).filter(F.size("dropped") > 0).select(F.col("doc").alias(key), F.col("dropped").alias(gone)).dropDuplicates([key])
+    joined = docs.join(found, F.xxhash64(id_col, text_col) == F.col(key), "left")
+    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(left)
     return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
 
 

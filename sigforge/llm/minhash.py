@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, materialize, rows_of, table
+from .common import chunks, discard, fresh, materialize, rows_of, table
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -246,8 +246,9 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width:
 
 def remove(docs: DataFrame, *, id_col="doc_id", **options) -> DataFrame:
     """`docs` with one document of each group, that of the smallest id; all columns as they were."""
-    gone = near_duplicates(docs, id_col=id_col, **options).filter("NOT kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    (own,) = fresh(docs.columns, "_gone")
+    gone = near_duplicates(docs, id_col=id_col, **options).filter("NOT kept").select(F.col(id_col).alias(own))
+    return docs.join(gone, F.col(id_col) == F.col(own), "left_anti")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

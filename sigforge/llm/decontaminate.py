@@ -13,7 +13,7 @@ more passes over the texts, never a larger broadcast.
 
 from __future__ import annotations
 
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import LETTER_BYTES, chunks, materialize, rows_of, table, utf8
+from .common import LETTER_BYTES, chunks, fresh, materialize, rows_of, table, utf8
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -149,32 +149,57 @@ class Shard:
         return np.searchsorted(self.starts, positions, "right") - 1
 
     def window_hits(self):
-        """The hit words as a mask over the sequence, and distinct pairs (text, item)."""
+        """The hit words as a mask over the sequence, and distinct pairs (text, item).
+
+        A position lies in at most one interval of each window length, so the intervals have no more positions than the
+        sequence has words for each length, however often a benchmark repeats a window.
+        """
         full = np.flatnonzero(self.at_window[:, 0] < self.at_window[:, 1])
-        spans = np.unique(np.column_stack([self.at_window[full], self.block.window[full]]), axis=0)
+        spans, which = np.unique(np.column_stack([self.at_window[full], self.block.window[full]]), axis=0, return_inverse=True)
+        owners = np.unique(which.ravel().astype(np.int64) * max(1, len(self.block.item_ids)) + self.block.item[full])  # (interval, item)
+        first_owner = np.searchsorted(owners, np.arange(len(spans) + 1) * max(1, len(self.block.item_ids)))
         change = np.zeros(len(self.seq) + 1, np.int64)
-        pos, which = _expand(spans[:, :2], self.sa)
-        np.add.at(change, pos, 1)
-        np.add.at(change, pos + spans[which, 2], -1)
+        pairs, held = [], 0
+        for part in _parts(spans[:, 1] - spans[:, 0]):
+            pos, own = _expand(spans[part, :2], self.sa)
+            np.add.at(change, pos, 1)
+            np.add.at(change, pos + spans[part, 2][own], -1)
+            seen = np.unique((part[own].astype(np.int64) << 32) | self.text_of(pos))  # (interval, text)
+            interval, text = seen >> 32, seen & 0xFFFFFFFF
+            n = first_owner[interval + 1] - first_owner[interval]
+            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            item = owners[np.repeat(first_owner[interval], n) + inside] % max(1, len(self.block.item_ids))
+            pairs.append(np.unique(np.repeat(text, n) * len(self.block.item_ids) + item))
+            held += len(pairs[-1])
+            if held > 1 << 20:
+                pairs, held = [np.unique(np.concatenate(pairs))], 0
         hit = np.cumsum(change[:-1]) > 0
-        pairs = []
-        for part in np.array_split(full, max(1, len(full) // 2000 + 1)):
-            pos, which = _expand(self.at_window[part], self.sa)
-            pairs.append(np.unique(self.text_of(pos) * len(self.block.item_ids) + self.block.item[part][which]))
         pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         return hit, pairs // max(1, len(self.block.item_ids)), pairs % max(1, len(self.block.item_ids))
 
     def longest(self, least: int):
         """Of each pair (text, item) the longest match of at least `least` words, the first in text and item."""
         some = np.flatnonzero(self.length >= np.minimum(least, self.block.window))
-        pos, which = _expand(self.best[some], self.sa)
-        text, suffix = self.text_of(pos), some[which]
-        item = self.block.item[suffix]
-        by = np.lexsort((self.block.offset[suffix], pos, -self.length[suffix], item, text))
-        text, item, suffix, pos = text[by], item[by], suffix[by], pos[by]
-        first = np.ones(len(by), bool)
-        first[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
-        return text[first], item[first], pos[first] - self.starts[text[first]], self.block.offset[suffix[first]], self.length[suffix[first]]
+        best = tuple(np.zeros(0, np.int64) for _ in range(4))
+        for part in _parts(self.best[some, 1] - self.best[some, 0]):
+            pos, which = _expand(self.best[some[part]], self.sa)
+            suffix = some[part][which]
+            text, item, suffix, pos = (np.concatenate(x) for x in zip(best, (self.text_of(pos), self.block.item[suffix], suffix, pos), strict=True))
+            by = np.lexsort((self.block.offset[suffix], pos, -self.length[suffix], item, text))
+            text, item, suffix, pos = text[by], item[by], suffix[by], pos[by]
+            first = np.ones(len(by), bool)
+            first[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
+            best = text[first], item[first], suffix[first], pos[first]
+        text, item, suffix, pos = best
+        return text, item, pos - self.starts[text], self.block.offset[suffix], self.length[suffix]
+
+
+def _parts(sizes: np.ndarray, most: int = 1 << 20):
+    """Consecutive indices of about `most` in total size; one larger one stands alone."""
+    if not len(sizes):
+        return
+    edges = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    yield from np.split(np.arange(len(sizes)), edges)
 
 
 def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES):
@@ -183,14 +208,8 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_byt
     yield from chunks(((r[0] or "", r[1]) for r in rows), lambda r: 64 + len(r[1] or ""), block_bytes)
 
 
-FOUND = T.StructType([
-    T.StructField("_n_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.LongType())),
-    T.StructField("_items", T.ArrayType(T.StringType())),
-])
-
-
-def _annotate(docs: DataFrame, block: Block, text_col: str) -> DataFrame:
-    """The rows of `docs` with the number of words, the hit runs (start, end, start, ...) and the items found."""
+def _annotate(docs: DataFrame, block: Block, text_col: str, names: list[str]):
+    """The rows of `docs` with the number of words, the hit runs (start, end, start, ...) and the items found, and the broadcast block."""
     value = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
@@ -214,48 +233,54 @@ def _annotate(docs: DataFrame, block: Block, text_col: str) -> DataFrame:
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(shard.n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                    names=[*rows.schema.names, *FOUND.names],
+                    names=[*rows.schema.names, *names],
                 )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *FOUND.fields]))
+    found = (T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType()))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, found, strict=True))])), value
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, text_col="text", item_col="item_id", item_text_col="text",
-             window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of `docs` with _n_words, _spans (hit runs) and _items (distinct, sorted).
+             window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, list[str]]:
+    """The rows of `docs` with the number of words, hit runs and items (distinct, sorted), and the names of these three columns.
 
-    One narrow pass over the texts for each block of the benchmark, without a shuffle if one block suffices.
+    One narrow pass over the texts for each block of the benchmark, without a shuffle if one block suffices. Otherwise the
+    result of each pass is written before the next block takes its place.
     """
+    names = fresh(docs.columns, "n_words", "spans", "items")
+    n_words, spans, items = names
     blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
     first, second = Block(next(blocks, []), window), next(blocks, None)
     if second is None:
-        return _annotate(docs, first, text_col).withColumn("_items", F.array_sort(F.array_distinct("_items")))
+        return _annotate(docs, first, text_col, names)[0].withColumn(items, F.array_sort(F.array_distinct(items))), names
     # rows need an identity that all passes agree on
-    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
-    texts = keyed.select("_row", text_col)
-    parts = _annotate(texts, first, text_col).drop(text_col)
-    while second is not None:
-        parts = parts.unionByName(_annotate(texts, Block(second, window), text_col).drop(text_col))
-        second = next(blocks, None)
-    merged = parts.groupBy("_row").agg(
-        F.max("_n_words").alias("_n_words"), F.flatten(F.collect_list("_spans")).alias("_spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"),
+    (row,) = fresh([*docs.columns, *names], "row")
+    keyed = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    texts = keyed.select(row, text_col)
+    parts = None
+    for block in chain([first], (Block(b, window) for b in chain([second], blocks))):
+        found, value = _annotate(texts, block, text_col, names)
+        found = materialize(found.drop(text_col), "decontaminate-block")
+        value.destroy()
+        parts = found if parts is None else parts.unionByName(found)
+    merged = parts.groupBy(row).agg(
+        F.max(n_words).alias(n_words), F.flatten(F.collect_list(spans)).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list(items)))).alias(items),
     )
-    return keyed.join(merged, "_row").drop("_row")
+    return keyed.join(merged, row).drop(row), names
 
 
-#: Words under the union of the runs, which overlap where several blocks hit.
-_N_HIT = """
-CASE WHEN size(_spans) > 0 THEN aggregate(
-  array_sort(transform(sequence(0, size(_spans) div 2 - 1), i -> struct(_spans[2 * i] AS a, _spans[2 * i + 1] AS b))),
+def _n_hit(spans: str):
+    """Words under the union of the runs, which overlap where several blocks hit."""
+    return F.expr(f"""
+CASE WHEN size(`{spans}`) > 0 THEN aggregate(
+  array_sort(transform(sequence(0, size(`{spans}`) div 2 - 1), i -> struct(`{spans}`[2 * i] AS a, `{spans}`[2 * i + 1] AS b))),
   struct(0L AS n, 0L AS e),
   (s, x) -> struct(s.n + greatest(0L, x.b - greatest(x.a, s.e)) AS n, greatest(s.e, x.b) AS e),
-  s -> s.n) ELSE 0L END"""
+  s -> s.n) ELSE 0L END""")
 
 
-def _contaminated(max_hit_parts: int):
-    n_hit = F.expr(_N_HIT)
-    return (n_hit > 0) & (max_hit_parts * n_hit >= F.col("_n_words"))
+def _contaminated(names: list[str], max_hit_parts: int):
+    return (_n_hit(names[1]) > 0) & (max_hit_parts * _n_hit(names[1]) >= F.col(names[0]))
 
 
 def score(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id", text_col="text", max_hit_parts: int = 20, **options) -> DataFrame:
@@ -267,17 +292,19 @@ def score(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id", text_col="t
     count once, a null item id is an empty one; rows with equal ids stay separate rows. Other
     columns aren't read. An empty benchmark leaves all clean, empty documents give no rows.
     """
-    found = annotate(docs.select(id_col, text_col), benchmark, text_col, **options)
+    found, names = annotate(docs.select(id_col, text_col), benchmark, text_col, **options)
+    n_words, spans, items = names
     return found.select(
-        id_col, F.col("_n_words").alias("n_words"), F.expr(_N_HIT).alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
-        _contaminated(max_hit_parts).alias("contaminated"),
+        id_col, F.col(n_words).alias("n_words"), _n_hit(spans).alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        _contaminated(names, max_hit_parts).alias("contaminated"),
     )
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, *, text_col="text", max_hit_parts: int = 20, **options) -> DataFrame:
     """`docs` without the contaminated rows, all columns as they were."""
-    return annotate(docs, benchmark, text_col, **options).filter(~_contaminated(max_hit_parts)).select(docs.columns)
+    found, names = annotate(docs, benchmark, text_col, **options)
+    return found.filter(~_contaminated(names, max_hit_parts)).select(docs.columns)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
@@ -301,7 +328,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id", t
                 names = pa.array([block.item_ids[i] for i in item.tolist()], pa.string())
                 yield pa.RecordBatch.from_arrays([ids, names, *(pa.array(x, pa.int64()) for x in (word, offset, length))], names=schema.names)
 
-        found = docs.select(id_col, text_col).mapInArrow(run, schema)
+        found = materialize(docs.select(id_col, text_col).mapInArrow(run, schema), "longest-matches")
+        value.destroy()
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 

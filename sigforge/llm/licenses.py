@@ -7,8 +7,8 @@ it starts in the first third of.
 Tokens are ordered by their frequency in the whole corpus, the rarest first. To hold a block that reaches the
 share a stretch must have one of the template's first n - need + 1 tokens (prefix filter), enough words
 (length filter), and after its first common token enough tokens must be left in the order (positional
-filter); only such stretches are counted out, and where they have the share, their blocks from every listed word. Templates are code, a few hundred tokens; tokens of texts
-that have none of the prefixes aren't even listed.
+filter); only such stretches are counted out, and where they have the share, their blocks from every listed word. Templates are code, a few hundred tokens; the
+texts are read once, to list their words that are such tokens.
 
 Phrases are templates that need all their tokens; the blocks found are then searched for the places where the
 words stand consecutively.
@@ -71,9 +71,9 @@ def templates(notices=NOTICES, phrases=PHRASES, share: float = SHARE) -> list[Te
     return [t for t in out if t.words]
 
 
-def frequencies(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """In the whole corpus, of the words in the vocabulary; as many rows at most."""
-    found = words.select(F.explode("words").alias("token")).filter(F.col("token").isin(vocabulary)).groupBy("token").count()
+def frequencies(base: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """In the whole corpus, of the words in the vocabulary, from the listed hits; as many rows at most."""
+    found = base.select(F.explode("hits.token").alias("token")).groupBy("token").count()
     return {**dict.fromkeys(vocabulary, 0), **{r[0]: r[1] for r in found.collect()}}
 
 
@@ -89,8 +89,12 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", notices=NOTICES,
     spark = docs.sparkSession
     known = templates(notices, phrases, share)
     vocabulary = sorted({w for t in known for w in t.words})
-    worded = docs.select(F.col(id_col).alias("_id"), F.regexp_extract_all(lower_ascii(F.col(text_col)), F.lit(LETTER_WORD), F.lit(0)).alias("words"))
-    count = frequencies(worded, vocabulary) if vocabulary else {}
+    # the texts are read once: every word of the vocabulary is listed with its place
+    words = F.regexp_extract_all(lower_ascii(F.col(text_col)), F.lit(LETTER_WORD), F.lit(0))
+    worded = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), words.alias("words"))
+    hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(i.alias("at"), w.alias("token")))), lambda x: x.isNotNull())
+    base = materialize(worded.select("_row", "_id", F.size("words").cast("long").alias("n_words"), hits.alias("hits")), "licenses")
+    count = frequencies(base, vocabulary)
     order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (count[w], w)))}
     number = {w: k for k, w in enumerate(vocabulary)}
     rows, prefix = [], set()
@@ -102,12 +106,8 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", notices=NOTICES,
     schema = "template int, token string, place int, prefix boolean, span int, n int, need int, label string, phrase boolean"
     parts = F.broadcast(spark.createDataFrame([(r[0], vocabulary[r[1]], *r[2:]) for r in rows], schema))  # as long as the templates
 
-    at = F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("token")))
-    listed = F.when(F.exists("words", lambda w: w.isin(list(prefix))), F.filter(at, lambda x: x["token"].isin(vocabulary)))
-    base = worded.select(F.monotonically_increasing_id().alias("_row"), "_id", F.size("words").cast("long").alias("n_words"), listed.alias("hits"))
-    base = materialize(base, "licenses")
-
-    hits = base.filter("hits IS NOT NULL").select("_row", "n_words", F.explode("hits").alias("h")).select("_row", "n_words", "h.at", "h.token")
+    some = base.filter(F.exists("hits", lambda x: x["token"].isin(list(prefix))))
+    hits = some.select("_row", "n_words", F.explode("hits").alias("h")).select("_row", "n_words", "h.at", "h.token")
     third = (F.col("at") / F.col("span")).cast("int")
     in_stretches = hits.join(parts, "token").withColumn("stretch", F.explode(F.sequence(F.greatest(F.lit(0), third - 2), third)))
     long_enough = F.least(F.col("n_words") - F.col("stretch") * F.col("span"), 2 * F.col("span")) >= F.col("need")
@@ -131,14 +131,14 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", notices=NOTICES,
     others = found.filter("NOT phrase").groupBy("_row").agg(F.collect_set("label").alias("others"), F.max("share").alias("share"))
     out = base.select("_row", "_id", "n_words").join(in_order, "_row", "left").join(others, "_row", "left")
     starts = F.col("places.start")
-    some = F.size("places") > 0
+    any_ = F.size("places") > 0
     base_labels = F.coalesce(F.array_sort(F.array_distinct("places.label")), F.array().cast("array<string>"))
     labels = F.array_sort(F.array_union(base_labels, F.coalesce("others", F.array().cast("array<string>"))))
     return out.select(
-        F.col("_id").alias(id_col), "n_words", F.coalesce(F.when(some, F.size("places")), F.lit(0)).cast("long").alias("n_base"),
+        F.col("_id").alias(id_col), "n_words", F.coalesce(F.when(any_, F.size("places")), F.lit(0)).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(base_labels, ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
-        F.greatest(F.when(some, F.lit(1.0)).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
+        F.greatest(F.when(any_, F.lit(1.0)).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
     )
 
 

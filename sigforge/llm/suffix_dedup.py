@@ -5,8 +5,9 @@ least hash. Equal strings have equal anchors at the same place, so only occurren
 gram need to be compared, and about one position in 75 is an anchor.
 
 1. Anchors are counted by gram; those that occur once are done (their strings are unique).
-2. An occurrence carries a hash of all strings that have it as their anchor. Occurrences that agree in
-   it are one class: of two or more, all strings are repeated.
+2. The context of an occurrence holds all strings that have it as their anchor. Occurrences of equal contexts, byte by
+   byte, are one class: of two or more, all strings are repeated. A hash names the class later on; if two contexts
+   of a gram have one hash, everything is done again with another hash.
 3. What is left are classes of one occurrence. The contexts of the classes of a gram are suffix-sorted, to the
    right and (reversed) to the left. Suffixes are compared by hashes: prefix sums of polynomial hashes give the hash of
    any substring, binary search finds the common extension, so that a comparison takes logarithmic
@@ -15,8 +16,9 @@ gram need to be compared, and about one position in 75 is an anchor.
    both orders at the string's depths.
 4. The repeated strings of a text become runs of bytes.
 
-Grams with more than ``MOST_CLASSES`` classes aren't brought together in one task: their strings are
-counted one by one by two 64-bit hashes, with partial sums before the shuffle.
+A gram of more than ``MOST_CLASSES`` classes is sorted in parts: strings that start a to b bytes before the gram share more
+than the gram, namely all bytes from a before it to ``LENGTH`` - b behind its start. Halving the range of distances
+lengthens what is shared, by which the classes are dealt into smaller parts; at a single distance a part is one string.
 """
 
 from __future__ import annotations
@@ -38,19 +40,24 @@ _CHUNK = 2 << 20
 _TASK = 4 << 20
 
 
-def substring_sums(b: np.ndarray) -> np.ndarray:
+def substring_sums(b: np.ndarray, seed: int = 0) -> np.ndarray:
     sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers(max(1, len(b))), out=sums[1:])
+    values = mix(np.arange(256, dtype=np.uint64) + np.uint64(seed << 8))[b] if seed else b.astype(np.uint64) + np.uint64(1)
+    np.cumsum(values * powers(max(1, len(b))), out=sums[1:])
     return sums
 
 
-def anchors(parts: list[bytes], length: int, gram: int):
+def _class_hash(x: np.ndarray, seed: int) -> np.ndarray:
+    return mix(x)
+
+
+def anchors(parts: list[bytes], length: int, gram: int, seed: int = 0):
     """Of every part (whole texts or segments): gram hash, part, place, first and last string start, hash of the strings."""
     data = np.frombuffer(b"".join(parts), np.uint8)
     width = length - gram + 1
     if len(data) < length:
         return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint64))
-    sums, back = substring_sums(data), inverse_powers(len(data))
+    sums, back = substring_sums(data, seed), inverse_powers(len(data))
     grams = mix((sums[gram:] - sums[:-gram]) * back[: len(data) - gram + 1])
     low = np.uint64((1 << int(len(data)).bit_length()) - 1)
     key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
@@ -66,7 +73,7 @@ def anchors(parts: list[bytes], length: int, gram: int):
     first, last = starts[new], starts[np.append(new[1:], len(starts)) - 1] if len(new) else np.zeros(0, np.int64)
     place = own[new]
     part = np.searchsorted(ends, first, "right")
-    whole = mix((sums[last + length] - sums[first]) * back[first] + ((place - first) * 1009 + (last - first)).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    whole = _class_hash((sums[last + length] - sums[first]) * back[first] + ((place - first) * 1009 + (last - first)).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F), seed)
     base = ends[part] - np.array([len(p) for p in parts], np.int64)[part] if len(parts) else part
     return grams[place], part, place - base, first - base, last - base, whole
 
@@ -77,14 +84,14 @@ def _segments(data: bytes, length: int):
         yield at, data[at : at + _SEGMENT + length - 1]
 
 
-def _anchor_rows(docs: DataFrame, length: int, gram: int, with_places: bool) -> DataFrame:
+def _anchor_rows(docs: DataFrame, length: int, gram: int, with_places: bool, seed: int = 0) -> DataFrame:
     """(gram[, strings, doc, at]) of all anchors; at: place, its distance to the first start and first to last, packed."""
     schema = "gram long, strings long, doc long, at long" if with_places else "gram long"
 
     def run(batches):
         units = ((doc, at, part) for doc, text in rows_of(batches, ("doc", "text")) for at, part in _segments(utf8(text), length))
         for unit in chunks(units, lambda u: 64 + len(u[2]), _CHUNK):
-            grams, part, place, first, last, whole = anchors([u[2] for u in unit], length, gram)
+            grams, part, place, first, last, whole = anchors([u[2] for u in unit], length, gram, seed)
             out = [pa.array(grams.view(np.int64))]
             if with_places:
                 docs_, offsets = (np.array([u[k] for u in unit], np.int64)[part] for k in (0, 1))
@@ -183,11 +190,11 @@ def sorted_suffixes(data, start, size, group):
     raise RuntimeError("suffix sort: hashes keep colliding")
 
 
-def repeated_strings(group: np.ndarray, contexts: list[bytes], place: np.ndarray, span: np.ndarray, length: int):
+def repeated_strings(group: np.ndarray, contexts: list[bytes], place: np.ndarray, span: np.ndarray, length: int, low: np.ndarray, high: np.ndarray):
     """For contexts ordered by group: pairs (context, distance of a repeated string's start before the place).
 
-    place: the gram in its context; span: number of string starts less one. A string is repeated if
-    an other context of the group has it at the same distance.
+    place: the gram in its context; span: number of string starts less one; low, high: the distances that
+    matter. A string is repeated if an other context of the group has it at the same distance.
     """
     size = np.array([len(c) for c in contexts], np.int64)
     data = np.frombuffer(b"".join(contexts), np.uint8)
@@ -195,8 +202,8 @@ def repeated_strings(group: np.ndarray, contexts: list[bytes], place: np.ndarray
     right = sorted_suffixes(data, start + place, size - place, group)
     left = sorted_suffixes(data[::-1], len(data) - (start + place), place, group)
     index, distance = [], []
-    for d in range(int(place.max(initial=-1)) + 1):
-        has = (d <= place) & (d >= place - span)
+    for d in range(int(low.min(initial=0)), int(min(place.max(initial=-1), high.max(initial=-1))) + 1):
+        has = (d <= place) & (d >= place - span) & (d >= low) & (d <= high)
         if not has.any():
             continue
         interval = []
@@ -219,97 +226,121 @@ def _runs(distances: np.ndarray) -> list[int]:
     return np.column_stack([distances[np.append(0, cut + 1)], distances[np.append(cut, len(distances) - 1)]]).ravel().tolist()
 
 
-def _compared(contexts: DataFrame, length: int) -> DataFrame:
-    """(gram, strings, runs) of classes of one occurrence with repeated strings, from all contexts of their grams."""
+_ROW = "part long, gram long, strings long, repeated boolean, rel long, low int, high int, context binary"
+
+
+def _compared(rows: DataFrame, length: int) -> DataFrame:
+    """(gram, strings, runs) of classes of one occurrence with repeated strings, from all rows (_ROW) of their part."""
 
     def solve(rows):
         rows.sort(key=lambda r: r[0])
         group = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)[1]
-        place = np.array([(r[3] >> 10) & 1023 for r in rows], np.int64)
-        span = np.array([r[3] & 1023 for r in rows], np.int64)
-        index, distance = repeated_strings(group, [r[4] for r in rows], place, span, length)
+        rel, low, high = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
+        index, distance = repeated_strings(group, [r[7] for r in rows], rel >> 10, rel & 1023, length, low, high)
         by = np.lexsort((distance, index))
         index, distance = index[by], distance[by]
         edges = np.flatnonzero(np.diff(index)) + 1
         out = []
         for a, z in zip([0, *edges], [*edges, len(index)], strict=True) if len(index) else ():
             r = rows[index[a]]
-            if not r[2]:
-                out.append((r[0], r[1], _runs(distance[a:z])))
+            if not r[3]:
+                out.append((r[1], r[2], _runs(distance[a:z])))
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["gram", "strings", "runs"])
 
     def run(batches):
         held, size = [], 0
-        for row in rows_of(batches, ("gram", "strings", "repeated", "at", "context")):  # sorted by gram
+        for row in rows_of(batches, [f.split()[0] for f in _ROW.split(", ")]):  # sorted by part
             if size > _TASK and row[0] != held[-1][0]:
                 yield solve(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
+            size += len(row[7])
         if held:
             yield solve(held)
 
-    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, strings long, runs array<long>")
-
-
-def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """The same as _compared for grams with many classes, from counts of single strings."""
-
-    def run(batches):
-        for part in chunks(rows_of(batches, ("gram", "strings", "at", "context")), lambda r: len(r[3]), _CHUNK):
-            out = []
-            for gram, strings, at, context in part:
-                b, place, span = np.frombuffer(context, np.uint8), (at >> 10) & 1023, at & 1023
-                first = np.arange(span + 1)
-                hashes = []
-                for seed in (1, 2):
-                    sums = np.zeros(len(b) + 1, np.uint64)
-                    np.cumsum(mix(b.astype(np.uint64) + np.uint64(seed << 8)) * powers(len(b)), out=sums[1:])
-                    hashes.append(mix((sums[first + length] - sums[first]) * inverse_powers(len(b))[first]).view(np.int64))
-                out.append((np.full(span + 1, gram), np.full(span + 1, strings), place - first, *hashes))
-            columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "strings", "distance", "x", "y"])
-
-    strings = contexts.select("gram", "strings", "at", "context").mapInArrow(run, "gram long, strings long, distance long, x long, y long")
-    again = strings.groupBy("gram", "distance", "x", "y").count().filter("count > 1").drop("count")
-    found = strings.join(again, ["gram", "distance", "x", "y"]).groupBy("gram", "strings").agg(F.array_sort(F.collect_list("distance")).alias("d"))
-    return found.select("gram", "strings", F.flatten(F.transform("d", lambda d: F.array(d, d))).alias("runs"))
-
-
-def _contexts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """The bytes of all strings of a class, taken from its first occurrence."""
-    wanted = classes.groupBy("doc").agg(F.collect_list(F.struct("gram", "strings", "repeated", "many", "at")).alias("wanted"))
-    schema = "gram long, strings long, repeated boolean, many boolean, at long, context binary"
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, "gram long, strings long, runs array<long>")
+
+
+def _halved(rows: DataFrame, length: int) -> DataFrame:
+    """Rows of large parts dealt into parts of half the range of distances, by the bytes that all their strings share."""
+    place, span = F.shiftright("rel", 10), F.col("rel").bitwiseAND(1023)
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    halves = F.explode(F.array(F.struct(F.col("low").alias("a"), middle.alias("z")), F.struct((middle + 1).alias("a"), F.col("high").alias("z"))))
+    rows = rows.withColumn("h", halves).drop("low", "high").select("*", F.col("h.a").alias("low"), F.col("h.z").alias("high")).drop("h")
+    rows = rows.filter((F.col("low") <= F.col("high")) & (F.col("low") <= place) & (F.col("high") >= place - span))
+    shared = F.substr("context", (place - F.col("low") + 1).cast("int"), (F.lit(length) + F.col("low") - F.col("high")).cast("int"))
+    return rows.withColumn("part", F.xxhash64("part", "low", shared))
+
+
+def _solved(open_: DataFrame, length: int, most: int) -> DataFrame:
+    """(gram, strings, runs) for the classes (gram, strings, repeated, rel, context, classes of the gram)."""
+    span = F.greatest(F.lit(0), F.lit(length - 1)).cast("int")
+    rows = open_.select(F.col("gram").alias("part"), "gram", "strings", "repeated", "rel", F.lit(0).alias("low"), span.alias("high"), "context", "classes")
+    names = [f.split()[0] for f in _ROW.split(", ")]
+    solved = materialize(_compared(rows.filter(F.col("classes") <= most).select(names), length), "suffix-solved")
+    large = rows.filter(F.col("classes") > most).select(names)
+    while not large.isEmpty():
+        large = materialize(_halved(large, length), "suffix-parts")
+        sizes = materialize(large.groupBy("part").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-sizes")
+        one = F.col("low") == F.col("high")
+        sized = large.join(sizes, "part")
+        solved = solved.unionByName(materialize(_compared(sized.filter(~one & (F.col("n") <= most)).select(names), length), "suffix-solved"))
+        string = F.substr("context", (F.shiftright("rel", 10) - F.col("low") + 1).cast("int"), F.lit(length))
+        single = sized.filter(one).select("gram", "strings", "repeated", "low", string.alias("string"))
+        again = single.groupBy("gram", "low", "string").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+        found = single.filter("NOT repeated").join(again, ["gram", "low", "string"]).select("gram", "strings", F.array(F.col("low").cast("long"), F.col("low").cast("long")).alias("runs"))
+        solved = solved.unionByName(materialize(found, "suffix-solved"))
+        large = sized.filter(~one & (F.col("n") > most)).select(names)
+    return solved
+
+
+def _contexts(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """(gram, strings, rel, context) of all occurrences: the bytes of all strings with the anchor, and its place in them."""
+    wanted = found.groupBy("doc").agg(F.collect_list(F.struct("gram", "strings", "at")).alias("wanted"))
+    schema = "gram long, strings long, rel long, context binary"
 
     def run(batches):
         for part in chunks(rows_of(batches, ("text", "wanted")), lambda r: len(r[0] or "") + 400 * len(r[1]), _CHUNK):
-            out = []
-            for text, places in part:
-                data = utf8(text)
-                for w in places:
+            for places in _few(part):
+                out = []
+                for data, w in places:
                     first = (w["at"] >> 20) - ((w["at"] >> 10) & 1023)
-                    out.append((w["gram"], w["strings"], w["repeated"], w["many"], w["at"], data[first : first + (w["at"] & 1023) + length]))
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+                    out.append((w["gram"], w["strings"], w["at"] & 0xFFFFF, data[first : first + (w["at"] & 1023) + length]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=[f.split()[0] for f in schema.split(", ")])
 
     return docs.dropDuplicates(["doc"]).join(wanted, "doc").select("text", "wanted").mapInArrow(run, schema)
 
 
+def _few(part):
+    """Up to 10,000 places at a time, each with the bytes of its text."""
+    held = []
+    for text, places in part:
+        data = utf8(text)
+        for w in places:
+            held.append((data, w))
+            if len(held) == 10_000:
+                yield held
+                held = []
+    if held:
+        yield held
+
+
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_classes: int = MOST_CLASSES) -> DataFrame:
     """(doc, runs) of texts (doc, text) with repeated strings: starts of repeated strings as unsorted pairs first, last."""
-    grams = materialize(_anchor_rows(docs, length, gram, False).groupBy("gram").count().filter("count > 1").select("gram"), "suffix-grams")
-    found = materialize(_anchor_rows(docs, length, gram, True).join(grams, "gram"), "suffix-anchors")
-    classes = found.groupBy("gram", "strings").agg(F.count("*").alias("n"), F.min(F.struct("doc", "at")).alias("at"))
-    classes = materialize(classes.select("gram", "strings", (F.col("n") > 1).alias("repeated"), "at.doc", "at.at"), "suffix-classes")
-    single = classes.groupBy("gram").agg(F.count("*").alias("classes"), F.bool_and("repeated").alias("done")).filter("classes > 1 AND NOT done")
-    open_ = classes.join(single.select("gram", (F.col("classes") > most_classes).alias("many")), "gram")
-    contexts = materialize(_contexts(docs, open_, length), "suffix-contexts")
-    solved = _compared(contexts.filter("NOT many"), length).unionByName(_counted(contexts.filter("many AND NOT repeated").unionByName(contexts.filter("many AND repeated")), length))
-    solved = materialize(solved, "suffix-solved")
-    discard(contexts)
-    whole = classes.filter("repeated").select("gram", "strings", F.lit(None).cast("array<long>").alias("runs"))
-    known = whole.unionByName(solved.join(classes.filter("repeated").select("gram", "strings"), ["gram", "strings"], "left_anti"))
+    for seed in range(16):
+        found, classes = _classes(docs, length, gram, seed)
+        named = classes.groupBy("gram", "strings").agg(F.count("*").alias("contexts"), F.max("repeated").alias("repeated"))
+        named = materialize(named, "suffix-named")
+        if named.filter("contexts > 1").isEmpty():  # each hash names one context
+            break
+    else:
+        raise RuntimeError("suffix dedup: hashes keep colliding")
+    single = named.groupBy("gram").agg(F.count("*").alias("classes"), F.bool_and("repeated").alias("done")).filter("classes > 1 AND NOT done")
+    solved = _solved(classes.join(single.select("gram", "classes"), "gram"), length, most_classes)
+    discard(classes)
+    whole = named.filter("repeated").select("gram", "strings", F.lit(None).cast("array<long>").alias("runs"))
+    known = whole.unionByName(solved)
     place, before, span = F.shiftright("at", 20), F.shiftright("at", 10).bitwiseAND(1023), F.col("at").bitwiseAND(1023)
     every = F.array(place - before, place - before + span)
     some = F.flatten(F.transform(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), lambda k: F.array(place - F.get("runs", 2 * k + 1), place - F.get("runs", 2 * k))))
@@ -317,6 +348,15 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_
     return starts.groupBy("doc").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
+def _classes(docs: DataFrame, length: int, gram: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The occurrences (gram, strings, doc, at) of grams that occur again, and their classes (gram, strings, repeated, rel, context)."""
+    grams = materialize(_anchor_rows(docs, length, gram, False, seed).groupBy("gram").count().filter("count > 1").select("gram"), "suffix-grams")
+    found = materialize(_anchor_rows(docs, length, gram, True, seed).join(grams, "gram"), "suffix-anchors")
+    discard(grams)
+    classes = _contexts(docs, found, length).groupBy("gram", "strings", "rel", "context").agg(F.count("*").alias("n"))
+    return found, materialize(classes.select("gram", "strings", (F.col("n") > 1).alias("repeated"), "rel", "context"), "suffix-classes")
+
+
 def _cut(data: bytes, starts: list[int] | None, length: int) -> tuple[list[int], bytes]:
     """The maximal removed runs (start, end, start, ...) and what is left."""
     if not starts:

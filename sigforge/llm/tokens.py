@@ -34,8 +34,8 @@ from .common import materialize, rows_of, shared_dir, table, utf8
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-#: Entries of each of two generations of a cache, of about 200 bytes.
-CACHED = 300_000
+#: Entries of each of two generations of the caches, of about 150 bytes.
+CACHED_WORDS, CACHED_PIECES = 150_000, 150_000
 
 MAGIC = b"SFTOK001"
 _HEADER = struct.Struct("<QQQQ")  # documents, ids, control bytes, data bytes
@@ -107,7 +107,7 @@ class Words:
 
     Where the tokenizer's settings make words independent, every word is encoded once; what the settings do to plain
     words is done here, so that the library only runs its model. Any other tokenizer encodes whole texts. The caches of words and of
-    their pieces have two generations of ``CACHED`` entries each: when the younger one is full, the older one goes.
+    their pieces have two generations: when the younger one is full, the older one goes.
     """
 
     def __init__(self, spec: str):
@@ -167,9 +167,9 @@ class Words:
                 found[k] = out = old(w) or word(w)
                 if len(w) <= 64:
                     young[w] = out
-            if len(young) >= CACHED:
+            if len(young) >= CACHED_WORDS:
                 self.young, self.old = {}, young
-            if len(self.pieces) >= CACHED:
+            if len(self.pieces) >= CACHED_PIECES:
                 self.pieces, self.old_pieces = {}, self.pieces
         return b"".join(found)
 
@@ -258,6 +258,7 @@ def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> Da
     value = tokenized.sparkSession.sparkContext.broadcast(order)
 
     def run(batches):
+        _loaded.clear()  # this worker tokenizes no more
         rank, unpack = value.value, zstandard.ZstdDecompressor()
         shard = TaskContext.get().partitionId()
         fs, folder = _open(path)

@@ -99,9 +99,11 @@ def test_decontamination_keeps_equal_ids_apart(spark):
     assert sorted((r.doc_id or 0, r.contaminated) for r in got) == [(0, True), (1, False), (1, True)]
 
 
-@pytest.mark.parametrize("most", [20_000, 3])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, most):
+@pytest.mark.parametrize("most,colliding", [(20_000, False), (3, False), (1, False), (20_000, True)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, most, colliding):
     monkeypatch.setattr(suffix_dedup, "_SEGMENT", 64)
+    if colliding:  # the first hash names nothing
+        monkeypatch.setattr(suffix_dedup, "_class_hash", lambda x, seed: x if seed else x & np.uint64(1))
     rng = random.Random(4)
     docs = [(k, "".join(rng.choice("ab") for _ in range(rng.randrange(90)))) for k in range(40)] + [(40, "a" * 300), (41, None), (42, "ab" * 90), (43, "é" * 30), (44, ""), (45, "xé" * 9)]
     expected = brute.repeats(docs, 12)
@@ -113,7 +115,7 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, most):
 
 def test_suffix_dedup_repeated_rows(spark):
     got = suffix_dedup.dedup(frame(spark, [(1, "x" + "abcdefghij" * 30), (1, "x" + "abcdefghij" * 30), (None, "short"), (None, "short")])).collect()
-    assert sorted(len(r.kept) for r in got) == [1, 1, 5, 5] or sorted(len(r.kept) for r in got) == [0, 0, 5, 5]
+    assert sorted(len(r.kept) for r in got) == [0, 0, 5, 5]  # each "x..." string starts in both rows
     assert suffix_dedup.dedup(frame(spark, [])).collect() == []
 
 

@@ -67,19 +67,23 @@ def repeats(docs, length):
     return out
 
 
-def line_drops(docs, least=5):
+def line_drops(docs, least=5, least_characters=8):
     lines = sorted(((d, i, re.findall(r"[^\x20\x09-\x0D]+", x)) for d, t in docs for i, x in enumerate((t or "").split("\n"))), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     out, kept = {d: [] for d, _ in docs}, []
 
     def near(x, y):
         if x == y:
             return True
-        if min(len(x), len(y)) < least or abs(len(x) - len(y)) > 1:
+        if (len(x) < least) != (len(y) < least):
             return False
+        if len(x) < least:
+            x, y = list(" ".join(x)), list(" ".join(y))
+            if min(len(x), len(y)) < least_characters:
+                return False
         if len(x) == len(y):
             return sum(a != b for a, b in zip(x, y, strict=True)) <= 1
         long_, short = (x, y) if len(x) > len(y) else (y, x)
-        return any(long_[:k] + long_[k + 1 :] == short for k in range(len(long_)))
+        return len(long_) == len(short) + 1 and any(long_[:k] + long_[k + 1 :] == short for k in range(len(long_)))
 
     for d, i, w in lines:
         if w and any(near(w, x) for x in kept):

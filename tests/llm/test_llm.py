@@ -115,7 +115,7 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, most, colliding):
 
 def test_suffix_dedup_repeated_rows(spark):
     got = suffix_dedup.dedup(frame(spark, [(1, "x" + "abcdefghij" * 30), (1, "x" + "abcdefghij" * 30), (None, "short"), (None, "short")])).collect()
-    assert sorted(len(r.kept) for r in got) == [0, 0, 5, 5]  # each "x..." string starts in both rows
+    assert sorted((r.doc_id or 0, bytes(r.kept)) for r in got) == [(0, b"short")] * 2 + [(1, b"")] * 2  # each "x..." string starts in both rows
     assert suffix_dedup.dedup(frame(spark, [])).collect() == []
 
 
@@ -150,6 +150,7 @@ def test_line_dedup_equals_brute_force(spark):
             lines.append(rng.choice((" ", "\t ")).join(x))
         docs.append((d, "\n".join(lines)))
     docs += [(100, None), (101, ""), (102, "\n \n"), (103, "z " * 3000), (104, "z " * 2999)]
+    docs += [(105, "Page 3 of 10\nPage 4 of 10\nPage 41 of 10\nPage 41 of 1"), (106, "abc\nabd"), (107, "東京都千代田区丸の内一\n東京都千代田区丸の内二"), (108, "𝒳" * 8 + "\n" + "𝒳" * 7 + "\n" + "𝒳" * 9)]
     got = {r.doc_id: list(r.dropped) for r in line_dedup.find(clashing(spark, docs)).collect()}
     assert got == brute.line_drops(docs)
     text = {r.doc_id: r.text for r in line_dedup.remove(clashing(spark, docs)).collect()}
@@ -158,7 +159,7 @@ def test_line_dedup_equals_brute_force(spark):
 
 def test_line_dedup_nulls_and_repeats(spark):
     got = line_dedup.find(frame(spark, [(None, "a b"), (1, "a b\nc"), (1, "a b\nc"), (2, "c")])).collect()
-    assert sorted((r.doc_id or 0, list(r.dropped)) for r in got) == [(0, []), (1, [0]), (1, [0]), (2, [0])]
+    assert sorted((r.doc_id or 0, list(r.dropped)) for r in got) == [(0, []), (1, [0]), (1, [0, 1]), (2, [0])]  # one of the equal rows is the earliest
     assert line_dedup.find(frame(spark, [])).collect() == []
 
 
@@ -169,7 +170,7 @@ def test_licenses(spark):
     ]
     got = {(r.doc_id, r.n_words): r for r in licenses.scan(clashing(spark, rows)).collect()}
     x = got[1, 13]
-    assert (x.n_base, x.first_word, x.last_word, x.base_labels) == (3, 2, 10, "cc-by,reserved") and x.labels.startswith("cc-by,cc-by") or x.labels == "cc-by,reserved"
+    assert (x.n_base, x.first_word, x.last_word, x.base_labels) == (3, 2, 10, "cc-by,reserved") and {"cc-by", "reserved"} <= set(x.labels.split(","))
     assert (got[2, 5].n_base, got[2, 5].first_word, got[2, 5].labels) == (1, 1, "gpl")
     assert (got[3, 0].n_base, got[3, 0].first_word, got[3, 0].labels, got[3, 0].score) == (0, None, "", 0.0)
     assert got[5, 4].n_base == 0 and "apache-2.0" in got[6, 20_008].labels and got[7, 5].labels == "mit" and got[7, 2].base_labels == got[None, 2].base_labels == "cc-by"

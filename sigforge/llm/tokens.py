@@ -14,7 +14,9 @@ committed only, lists the files that count, and the others are deleted at the en
 from __future__ import annotations
 
 import json
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -34,8 +36,8 @@ from .common import materialize, rows_of, shared_dir, table, utf8
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-#: Entries of each of two generations of the caches, of about 150 bytes.
-CACHED_WORDS, CACHED_PIECES = 150_000, 150_000
+#: Entries of each of two generations of the caches, of about 200 bytes.
+CACHED_WORDS, CACHED_PIECES = 50_000, 250_000
 
 MAGIC = b"SFTOK001"
 _HEADER = struct.Struct("<QQQQ")  # documents, ids, control bytes, data bytes
@@ -77,7 +79,9 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 # --- tokenizing -------------------------------------------------------------------------------
 
-_PLAIN = regex.compile("[\x21-\x7e\xa1-ſ]+")  # normal forms of themselves, and no white space
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xa1-ſ]*")  # normal forms of themselves, with ASCII white space only
+_CLASS = {kind: "".join(regex.escape(c) for c in map(chr, range(0x21, 0x180)) if unicodedata.category(c)[0] == kind) for kind in "LN"}
+_SPACES = dict.fromkeys(range(9, 14), " ")
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
@@ -102,12 +106,37 @@ def _pieces(conf: dict) -> str | None:
     return None if conf.get("truncation") or conf.get("padding") else pattern
 
 
+class _Generations:
+    """A cache of two generations: when the younger one is full, the older one goes. Long keys aren't kept."""
+
+    def __init__(self, entries: int):
+        self.entries = entries
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def joined(self, keys: list[str], make) -> bytes:
+        """The values of the keys one after the other; make() gives those that aren't cached."""
+        found = list(map(self.young.get, keys))
+        if None in found:
+            young, old = self.young, self.old.get
+            for k, value in enumerate(found):
+                if value is None:
+                    key = keys[k]
+                    found[k] = value = young.get(key) or old(key) or make(key)
+                    if len(key) <= 64:
+                        young[key] = value
+                        if len(young) >= self.entries:
+                            self.old, self.young = young, {}
+                            young, old = self.young, self.old.get
+        return b"".join(found)
+
+
 class Words:
-    """A tokenizer with a cache of what lies between white space, where that gives the same ids.
+    """A tokenizer with caches of the ids of pieces, where the settings make what lies between white space independent.
 
-    Where the tokenizer's settings make words independent, every word is encoded once; what the settings do to plain
-    words is done here, so that the library only runs its model. Any other tokenizer encodes whole texts. The caches of words and of
-    their pieces have two generations: when the younger one is full, the older one goes.
+    Then a text of plain characters is split into pieces here and only the model of the library runs, for pieces that aren't cached.
+    Of other texts every word is taken by itself; a word with other characters is left to the library. If the settings
+    are of another kind, the library encodes whole texts.
     """
 
     def __init__(self, spec: str):
@@ -116,62 +145,39 @@ class Words:
         self.size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
-        self.old_pieces: dict[bytes, bytes] = {}
+        self.words, self.pieces = _Generations(CACHED_WORDS), _Generations(CACHED_PIECES)
         pattern = _pieces(conf)
-        self.split = regex.compile(pattern).findall if pattern else None
-        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in conf.get("added_tokens") or ()) or "(?!)").search
+        self.split = re.compile(pattern.replace("\\p{L}", _CLASS["L"]).replace("\\p{N}", _CLASS["N"])).findall if pattern else None
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in conf.get("added_tokens") or ()) or "(?!)").search
         self.tokenize = self.tokenizer.model.tokenize
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet's own bytes; the others follow from 256 on
         rest = iter(range(256, 512))
         self.alphabet = {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _piece(self, piece: bytes) -> bytes:
-        """The ids of a lower-case piece, which the words of many forms have."""
-        out = self.pieces.get(piece) or self.old_pieces.get(piece)
-        if out is None:
-            mapped = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.alphabet)
-            out = array(self.code, [t.id for t in self.tokenize(mapped)]).tobytes()
-        if len(piece) <= 64:
-            self.pieces[piece] = out
-        return out
-
-    def _word(self, word: bytes) -> bytes:
-        core = word.rstrip(b".,!?;:")
-        if core.isalpha():  # ASCII letters, and signs that don't begin an added token
-            core = core.lower()
-            out = self.pieces.get(core) or self._piece(core)
-            return out if len(core) == len(word) else out + self._piece(word[len(core) :])
-        text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and not self.special(text):
-            text = text.lower()
-            return self._piece(text.encode()) if text.isalpha() else b"".join([self._piece(p.encode()) for p in self.split(text)])
-        return array(self.code, self._ids(text)).tobytes()
+    def _ids(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.tokenize(mapped)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._plain(word) if self._is_plain(word) else self._ids(word)
+
+    def _is_plain(self, text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None and self.special(text) is None
+
+    def _plain(self, text: str) -> bytes:
+        return self.pieces.joined(self.split(text.lower()), self._piece)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.split:
-            return np.array(self._ids(text), self.kind).tobytes()
-        words = utf8(text).split()
-        found = list(map(self.young.get, words))
-        if None in found:
-            young, old, word = self.young, self.old.get, self._word
-            for k in [k for k, f in enumerate(found) if f is None]:
-                w = words[k]
-                found[k] = out = old(w) or word(w)
-                if len(w) <= 64:
-                    young[w] = out
-            if len(young) >= CACHED_WORDS:
-                self.young, self.old = {}, young
-            if len(self.pieces) >= CACHED_PIECES:
-                self.pieces, self.old_pieces = {}, self.pieces
-        return b"".join(found)
+            return self._ids(text)
+        if self._is_plain(text):
+            return self._plain(text)
+        return self.words.joined(utf8(text).decode("utf-8", "replace").translate(_SPACES).split(" "), self._word)
 
 
 _loaded: dict[int, Words] = {}

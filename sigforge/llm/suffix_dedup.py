@@ -35,9 +35,9 @@ from .shingles import inverse_powers, mix, powers
 LENGTH = 200
 GRAM = 50
 MOST_CLASSES = 20_000
-_SEGMENT = 4 << 20
-_CHUNK = 2 << 20
-_TASK = 4 << 20
+_SEGMENT = 1 << 20
+_CHUNK = 1 << 20
+_TASK = 2 << 20
 
 
 def substring_sums(b: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -3,11 +3,13 @@
 Documents with the same shingle set are one node. Every node's set is reduced to ``BANDS * ROWS``
 minima of universal hash functions, of which a byte each is kept. Equal bands put nodes into buckets. In a
 bucket, nodes are first compared with a leader: found links join components, the leader leaves the bucket, and buckets
-whose members are in one component are done. Buckets over ``SMALL`` nodes have further turns of leaders. The others are brought
+whose members are in one component are done. Buckets over ``SMALL`` nodes have up to ``TURNS`` turns of leaders. If they are
+larger still, the nodes outside a bucket's most frequent component are compared with all its nodes, strip by strip and block by
+block of about ``SMALL`` nodes, each pair of strip and block in a task. The other buckets are brought
 together: nodes that share buckets, directly or through others, are one part, which a task compares within, bucket by bucket;
-a part of more than ``LARGEST_PART`` nodes is taken apart into its buckets. Thus every pair of a bucket is
-compared or already in one component, and no bucket is expanded into pairs. Compared pairs must agree in their signatures;
-links are confirmed on the full sets.
+a part of more than ``LARGEST_PART`` nodes is taken apart into its buckets. A pair is compared in the first bucket it shares
+only. Thus every pair of a bucket is compared or already in one component, and no bucket is expanded into pairs. Compared
+pairs must agree in their signatures; links are confirmed on the full sets.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**5)**40 = 1e-7, and
 its signatures (200 minima) fall below ``LEAST_AGREEMENT`` with less than 1e-6.
@@ -31,8 +33,10 @@ LEAST_AGREEMENT = 0.66
 WIDTH = 5
 PERCENT = 80
 SMALL = 4096
+TURNS = 4
 LARGEST_PART = 16_384
 _CHUNK = 2 << 20
+_BAND = (1 << (BANDS - 1).bit_length()) - 1
 
 _seed = np.random.default_rng(20240501)
 _FACTORS = _seed.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,44 +108,41 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _within(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among nodes (part, node, comp, buckets, sig, shingles) of one part that share a bucket.
+    """Links (a, b) among nodes (part, node, comp, buckets, role, sig, shingles) of one part that share a bucket.
 
-    Within a task components grow with every link found, and pairs inside one aren't compared: a part gives
-    fewer links than it has nodes.
+    Nodes of role 2 are compared with those of the roles 0 and 1, with these only if they are smaller; in a bucket
+    that has role 2 only, with each other. Within a task components grow with every link found, and pairs
+    inside one aren't compared: a part gives fewer links than it has nodes.
     """
 
     def solve(part):
-        sigs = np.frombuffer(b"".join(r[4] for r in part), np.uint8).reshape(len(part), -1)
-        sets = [np.frombuffer(r[5], np.uint64) for r in part]
+        sigs = np.frombuffer(b"".join(r[5] for r in part), np.uint8).reshape(len(part), -1)
+        sets = [np.frombuffer(r[6], np.uint64) for r in part]
+        nodes, role = np.array([r[1] for r in part], np.int64), np.array([r[4] for r in part], np.int8)
         _, comp = np.unique(np.array([r[2] for r in part], np.int64), return_inverse=True)
         buckets: dict[int, list[int]] = {}
         for k, r in enumerate(part):
             for bucket in r[3]:
                 buckets.setdefault(bucket, []).append(k)
-        links, seen = [], set()
-        for members in buckets.values():
+        links = []
+        for bucket, members in buckets.items():
             m = np.array(members)
-            for i in range(len(m) - 1):
-                k, rest = members[i], m[i + 1 :]
+            asking, others = m[role[m] == 2], m[role[m] < 2]
+            for i, k in enumerate(asking.tolist()):
+                rest = others[(role[others] == 0) | (nodes[others] > nodes[k])] if len(others) else asking[i + 1 :]
                 rest = rest[comp[rest] != comp[k]]
                 if not len(rest):
                     continue
-                for j in rest[(sigs[rest] == sigs[k]).mean(1) >= LEAST_AGREEMENT].tolist():
-                    pair = (min(k, j) << 32) | max(k, j)
-                    if comp[j] == comp[k] or pair in seen:
-                        continue
-                    seen.add(pair)
-                    if _alike(sets[k], sets[j], percent):
+                for j in _agreeing_here(sigs, k, rest, bucket & _BAND):
+                    if comp[j] != comp[k] and _alike(sets[k], sets[j], percent):
                         links.append((part[k][1], part[j][1]))
                         comp[comp == comp[j]] = comp[k]
-                if len(seen) > 2_000_000:  # only spares comparing twice
-                    seen = set()
         return links
 
     def run(batches):
         held = []
         links = []
-        for row in rows_of(batches, ("part", "node", "comp", "buckets", "sig", "shingles")):  # sorted by part
+        for row in rows_of(batches, ("part", "node", "comp", "buckets", "role", "sig", "shingles")):  # sorted by part
             if held and held[-1][0] != row[0]:
                 links += solve(held) if len(held) > 1 else []
                 held = []
@@ -152,6 +153,15 @@ def _within(rows: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long")
 
 
+def _agreeing_here(sigs: np.ndarray, k: int, rest: np.ndarray, band: int) -> list[int]:
+    """Of the rest those whose signatures agree with k's often enough, and in no band before this one; the nearest first."""
+    equal = sigs[rest] == sigs[k]
+    agree = np.count_nonzero(equal, axis=1)
+    near = np.flatnonzero(agree >= LEAST_AGREEMENT * BANDS * ROWS)
+    near = near[equal[near].reshape(len(near), BANDS, ROWS).all(2).argmax(1) == band]
+    return rest[near[np.argsort(-agree[near], kind="stable")]].tolist()
+
+
 def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
         return False
@@ -160,27 +170,40 @@ def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    bands = F.array(*(F.xxhash64(F.lit(k), F.substring("sig", k * ROWS + 1, ROWS)) for k in range(BANDS)))
+    """(node, bucket); the low bits of a bucket are its band."""
+    bands = F.array(*(F.xxhash64(F.lit(k), F.substring("sig", k * ROWS + 1, ROWS)).bitwiseAND(F.lit(~_BAND)).bitwiseOR(F.lit(k)) for k in range(BANDS)))
     return nodes.select(F.col("id").alias("node"), F.explode(bands).alias("bucket"))
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
-    """A member of each bucket, then 2, 4, ... up to 32 other ones each turn."""
-    n = min(32, 1 << turn)
+    """A member of each bucket, then 2, 4, ... other ones each turn."""
+    n = 1 << turn
     picks = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 32 + k)).alias("h"), "node", "comp")).alias(f"p{k}") for k in range(n)]
     by = members.groupBy("bucket").agg(*picks).select("bucket", F.explode(F.array_distinct(F.array(*(F.struct(f"p{k}.node", f"p{k}.comp") for k in range(n))))).alias("l"))
     return by.select("bucket", F.col("l.node").alias("lead"), F.col("l.comp").alias("lead_comp"))
 
 
 def _parts(members: DataFrame) -> DataFrame:
-    """(part, node, comp, buckets): parts of nodes connected through buckets, or single buckets of larger ones."""
+    """(part, node, comp, buckets, role 2): parts of nodes connected through buckets, or single buckets of larger ones."""
     first = members.groupBy("bucket").agg(F.min("node").alias("a"))
     edges = members.join(first, "bucket").select("a", F.col("node").alias("b"))
     roots = materialize(components(edges), "minhash-parts")
     roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     sizes = roots.groupBy("root").agg(F.count("*").alias("nodes"))
     placed = members.join(roots, "node").join(sizes, "root").withColumn("part", F.when(F.col("nodes") <= LARGEST_PART, F.xxhash64(F.lit("part"), "root")).otherwise(F.xxhash64("bucket")))
-    return placed.groupBy("part", "node").agg(F.first("comp").alias("comp"), F.collect_list("bucket").alias("buckets"))
+    return placed.groupBy("part", "node").agg(F.first("comp").alias("comp"), F.collect_list("bucket").alias("buckets"), F.lit(2).alias("role"))
+
+
+def _strips(members: DataFrame) -> DataFrame:
+    """(part, node, comp, buckets, role) of large buckets: a part is a strip of the nodes outside the bucket's largest component (role 2) with a block of all its nodes."""
+    by_comp = members.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("size"))
+    by_comp = by_comp.select("bucket", F.col("most.comp").alias("main"), F.ceil((F.col("size") - F.col("most.n")) / SMALL).alias("strips"), F.ceil(F.col("size") / SMALL).alias("blocks"))
+    rows = members.select("bucket", "node", "comp").join(by_comp, "bucket").withColumn("asks", F.col("comp") != F.col("main"))
+    strip, block = F.pmod(F.xxhash64("node"), "strips"), F.pmod(F.xxhash64(F.lit(1), "node"), "blocks")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    asked = rows.withColumn("strip", every("strips")).withColumn("block", block).withColumn("role", F.col("asks").cast("int"))
+    asking = rows.filter("asks").withColumn("strip", strip).withColumn("block", every("blocks")).withColumn("role", F.lit(2))
+    return asked.unionByName(asking).select(F.xxhash64(F.lit("strip"), "bucket", "strip", "block").alias("part"), "node", "comp", F.array("bucket").alias("buckets"), "role")
 
 
 def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -216,7 +239,7 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width:
         return materialize(_linked(pairs, percent), "minhash-links")
 
     links, turn, open_ = None, 0, members
-    while True:  # turns of leaders in all buckets at first, then in large ones
+    while turn < TURNS:  # of leaders in all buckets at first, then in large ones
         leads = materialize(_leaders(open_, turn), "minhash-leaders")
         if leads.isEmpty():
             break
@@ -232,7 +255,9 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width:
         members, turn = rest, turn + 1
         open_ = members.filter(F.col("size") > SMALL)
     if links is not None:
-        parts = _parts(members.select("bucket", "node", "comp"))
+        parts = _parts(members.filter(F.col("size") <= SMALL).select("bucket", "node", "comp"))
+        if not open_.isEmpty():
+            parts = parts.unionByName(_strips(open_))
         for known_ in (sigs, sets):
             parts = parts.join(known_.withColumnRenamed("id", "node"), "node")
         links = links.unionByName(materialize(_within(parts, percent), "minhash-links"))

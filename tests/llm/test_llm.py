@@ -49,6 +49,24 @@ def test_minhash_equals_brute_force(spark, near_rows, monkeypatch, small, larges
     assert got == brute.components(dict(near_rows), 2)
 
 
+def test_minhash_compares_large_buckets_in_few_turns(spark, monkeypatch):
+    """Most variants of a text are linked, some with no other; leaders, a few a turn, would need a turn for every few nodes of a large bucket."""
+    rng, turns = random.Random(5), []
+    base, rows = [f"v{k}" for k in range(80)], []
+    for k in range(240):
+        t = list(base)
+        for at in rng.sample(range(80), 7 if k % 4 == 0 else rng.randrange(1, 4)):
+            t[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(t)))
+    leaders = minhash._leaders
+    monkeypatch.setattr(minhash, "_leaders", lambda members, turn: turns.append(turn) or leaders(members, turn))
+    monkeypatch.setattr(minhash, "SMALL", 4)
+    got = {r[0]: tuple(r[1:]) for r in minhash.near_duplicates(frame(spark, rows), width=2).collect()}
+    want = brute.components(dict(rows), 2)
+    assert got == want and 2 < sum(x[2] for x in want.values()) < 200
+    assert len(turns) <= 4
+
+
 def test_minhash_nulls_repeats_empty(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, "x y"), (2, "a b c")]
     got = sorted(map(str, minhash.near_duplicates(frame(spark, rows)).select("doc_id", "component_id", "kept").collect()))

@@ -10,8 +10,8 @@ share a stretch must have one of the template's first n - need + 1 tokens (prefi
 filter); only such stretches are counted out, and where they have the share, their blocks from every listed word. Templates are code, a few hundred tokens; the
 texts are read once, to list their words that are such tokens.
 
-Phrases are templates that need all their tokens; the blocks found are then searched for the places where the
-words stand consecutively.
+Phrases are templates that need all their tokens; the stretches found are then searched for the places where the
+words stand consecutively. Only stretches' words are shuffled, not the texts' lists of them.
 """
 
 from __future__ import annotations
@@ -97,48 +97,50 @@ def scan(docs: DataFrame, *, id_col="doc_id", text_col="text", notices=NOTICES,
     count = frequencies(base, vocabulary)
     order = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (count[w], w)))}
     number = {w: k for k, w in enumerate(vocabulary)}
-    rows, prefix = [], set()
+    rows, prefix, phrase_places = [], set(), {}
     for k, t in enumerate(known):
         ranked = sorted(t.tokens, key=order.get)
         first = ranked[: len(ranked) - t.need + 1]
         prefix |= set(first)
-        rows += [(k, number[w], at, at < len(first), len(t.words), len(ranked), t.need, t.label, t.phrase) for at, w in enumerate(ranked)]
-    schema = "template int, token string, place int, prefix boolean, span int, n int, need int, label string, phrase boolean"
+        rows += [(k, number[w], at, at < len(first), len(t.words), len(ranked), t.need) for at, w in enumerate(ranked)]
+        if t.phrase:
+            phrase_places[k] = [ranked.index(w) for w in t.words]
+    schema = "template int, token string, place int, prefix boolean, span int, n int, need int"
     parts = F.broadcast(spark.createDataFrame([(r[0], vocabulary[r[1]], *r[2:]) for r in rows], schema))  # as long as the templates
+    of_template = [(k, len(t.words), len(t.tokens), t.need, t.label, t.phrase) for k, t in enumerate(known)]
+    of_template = F.broadcast(spark.createDataFrame(of_template, "template int, span int, n int, need int, label string, phrase boolean"))
 
     some = base.filter(F.exists("hits", lambda x: x["token"].isin(list(prefix))))
     hits = some.select("_row", "n_words", F.explode("hits").alias("h")).select("_row", "n_words", "h.at", "h.token")
     third = (F.col("at") / F.col("span")).cast("int")
     in_stretches = hits.join(parts, "token").withColumn("stretch", F.explode(F.sequence(F.greatest(F.lit(0), third - 2), third)))
     long_enough = F.least(F.col("n_words") - F.col("stretch") * F.col("span"), 2 * F.col("span")) >= F.col("need")
-    candidates = in_stretches.filter(F.col("prefix") & long_enough).groupBy("_row", "template", "stretch").agg(F.min("place").alias("first"))
-    listed_in = (
-        in_stretches.join(candidates, ["_row", "template", "stretch"])
-        .filter(F.col("n") - F.col("first") >= F.col("need"))
-        .groupBy("_row", "template", "stretch", "label", "phrase", "n", "need", "span").agg(F.collect_list(F.struct("at", "place")).alias("words"))
-        .filter(F.size(F.array_distinct("words.place")) >= F.col("need"))
+    stretch = ["_row", "template", "stretch"]
+    candidates = in_stretches.filter(F.col("prefix") & long_enough).groupBy(*stretch, "n", "need").agg(F.min("place").alias("first"))
+    candidates = candidates.filter(F.col("n") - F.col("first") >= F.col("need")).select(*stretch)
+    listed_in = in_stretches.select(*stretch, "at", "place").join(candidates, stretch).groupBy(*stretch).agg(F.collect_list(F.struct("at", "place")).alias("words"))
+    listed_in = listed_in.join(of_template, "template").filter(F.size(F.array_distinct("words.place")) >= F.col("need"))
+    end = (F.col("stretch") + 1) * F.col("span")  # of the places that count for this stretch; the next ones are in the next
+    counted = listed_in.withColumn("common", F.array_max(_commons("words", "span", end))).filter("common >= need")
+    starts = F.array().cast("array<int>")
+    for k, places in phrase_places.items():
+        starts = F.when(F.col("template") == k, _starts("listed", places, end)).otherwise(starts)
+    counted = counted.withColumn("listed", F.array_sort("words")).withColumn("starts", starts)
+    found = counted.groupBy("_row").agg(
+        F.sum(F.size("starts")).alias("n_base"), F.min(F.array_min("starts")).alias("first_word"), F.max(F.array_max("starts")).alias("last_word"),
+        F.collect_set(F.when(F.size("starts") > 0, F.col("label"))).alias("base"), F.collect_set(F.when(~F.col("phrase"), F.col("label"))).alias("others"),
+        F.max(F.when(~F.col("phrase"), F.col("common") / F.col("n"))).alias("share"),
     )
-    counted = listed_in.withColumn("common", F.array_max(_commons("words", "span", (F.col("stretch") + 1) * F.col("span")))).filter("common >= need")
-    found = counted.groupBy("_row", "template", "label", "phrase").agg(F.max(F.col("common") / F.col("n")).alias("share"))
     found = materialize(found, "licenses-found")
 
-    places = F.array().cast("array<struct<start:int,label:string>>")
-    for k, t in enumerate(known):
-        if t.phrase:
-            places = F.concat(places, F.when(F.array_contains("phrases", k), _places(t)).otherwise(F.array().cast("array<struct<start:int,label:string>>")))
-    in_order = base.select("_row", "hits").join(found.filter("phrase").groupBy("_row").agg(F.collect_set("template").alias("phrases")), "_row")
-    in_order = in_order.select("_row", places.alias("places"))
-    others = found.filter("NOT phrase").groupBy("_row").agg(F.collect_set("label").alias("others"), F.max("share").alias("share"))
-    out = base.select("_row", "_id", "n_words").join(in_order, "_row", "left").join(others, "_row", "left")
-    starts = F.col("places.start")
-    any_ = F.size("places") > 0
-    base_labels = F.coalesce(F.array_sort(F.array_distinct("places.label")), F.array().cast("array<string>"))
-    labels = F.array_sort(F.array_union(base_labels, F.coalesce("others", F.array().cast("array<string>"))))
+    out = base.select("_row", "_id", "n_words").join(found, "_row", "left")
+    none = F.array().cast("array<string>")
+    base_labels, others = F.coalesce(F.array_sort("base"), none), F.coalesce("others", none)
     return out.select(
-        F.col("_id").alias(id_col), "n_words", F.coalesce(F.when(any_, F.size("places")), F.lit(0)).cast("long").alias("n_base"),
-        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
-        F.array_join(base_labels, ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
-        F.greatest(F.when(any_, F.lit(1.0)).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
+        F.col("_id").alias(id_col), "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
+        F.col("first_word").cast("long").alias("first_word"), F.col("last_word").cast("long").alias("last_word"),
+        F.array_join(base_labels, ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union(base_labels, others)), ",").alias("labels"),
+        F.greatest(F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
     )
 
 
@@ -152,20 +154,17 @@ def _commons(words: str, span: str, end):
     return F.transform(F.filter(words, lambda x: x["at"] < end), common)
 
 
-def _places(phrase: Template):
-    """Where a phrase's words stand one after the other; all of them are listed, so they are neighbours in `hits`."""
-    n = len(phrase.words)
+def _starts(words: str, places: list[int], end):
+    """Before `end`, where a phrase's words stand one after the other; given all of them by place, so they are neighbours."""
 
     def stands(i):
-        out = None
-        for j, word in enumerate(phrase.words):
-            hit = F.get("hits", i + j)
-            here = (hit["token"] == word) & (hit["at"] == F.get("hits", i)["at"] + j)
-            out = here if out is None else out & here
+        out = F.get(words, i)["at"] < end
+        for j, place in enumerate(places):
+            out = out & (F.get(words, i + j)["place"] == place) & (F.get(words, i + j)["at"] == F.get(words, i)["at"] + j)
         return out
 
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("hits") - n)), stands)
-    return F.transform(starts, lambda i: F.struct(F.get("hits", i)["at"].alias("start"), F.lit(phrase.label).alias("label")))
+    at_first = F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - len(places))), stands)
+    return F.transform(at_first, lambda i: F.get(words, i)["at"])
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

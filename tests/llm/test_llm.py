@@ -214,6 +214,19 @@ def test_licenses_equal_brute_force_at_every_position(spark):
         assert r.doc_id >= 12 or "mit" in r.labels.split(",")
 
 
+def test_license_phrases_without_shuffling_the_lists(spark):
+    """The lists of template words are a large part of the texts; a join of large tables by row would shuffle them all."""
+    rng, phrases = random.Random(6), (("aba", "a b a"), ("ab", "a b"), ("c", "c"))
+    rows = [(d, " ".join(rng.choice("abcd") for _ in range(rng.randrange(60)))) for d in range(80)]
+    out = licenses.scan(frame(spark, rows), notices=(), phrases=phrases)
+    assert "hits" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        w = dict(rows)[r.doc_id].split()
+        places = [(i, label) for label, text in phrases for i in range(len(w)) if w[i : i + len(text.split())] == text.split()]
+        assert (r.n_base, r.first_word, r.last_word) == (len(places), min(places, default=(None,))[0], max(places, default=(None,))[0])
+        assert r.base_labels == r.labels == ",".join(sorted({label for _, label in places}))
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     docs = []

@@ -57,10 +57,14 @@ def _units(least_words: int) -> Column:
 
 
 def _keys(lines: DataFrame) -> DataFrame:
-    """(key, kind, k1, k2, first) of lines with units; kind 0: a deletion to meet its like, 1: the whole line, 2: a deletion to meet whole lines."""
+    """(key, kind, k1, k2, first) of lines with units; kind 0: a deletion to meet its like, 1: the whole line, 2: a deletion to meet whole lines.
+
+    The lines are dealt out before they become a row for each unit, which then stay where they are.
+    """
     by = Window.partitionBy("k1", "k2")
     run = by.orderBy("at")
-    units = lines.select("k1", "k2", "first", "ends", "by_words", F.size("units").alias("n"), F.posexplode("units").alias("at", "unit"))
+    dealt = lines.repartition("k1", "k2")
+    units = dealt.select("k1", "k2", "first", "ends", "by_words", F.size("units").alias("n"), F.posexplode("units").alias("at", "unit"))
     units = units.withColumn("here", F.xxhash64("at", "unit")).withColumn("shifted", F.xxhash64(F.col("at") - 1, "unit"))
     units = units.withColumn("before", F.coalesce(F.bit_xor("here").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     total = F.bit_xor("shifted").over(by)
@@ -97,32 +101,32 @@ def find(docs: DataFrame, *, id_col="doc_id", text_col="text", least_words: int
     Lines without words stay. Null ids come first, null texts are one empty line. Of rows with equal id and text one is the
     earliest, in no order. Other columns aren't read; an empty table gives no rows.
     """
-    lines = materialize(_lines(docs, id_col, text_col, least_words), "lines")
+    lines = materialize(_lines(docs, id_col, text_col, least_words), "lines", lean=True)
     order = F.struct("id", "line", "doc", "_row")
     some = lines.filter("n > 0").select("_row", "id", "doc", "line", "n", "k1", "k2", *(f"h{k}" for k in range(4)))
     distinct = some.groupBy("k1", "k2").agg(F.min(order).alias("first"), *(F.first(f"h{k}").alias(f"h{k}") for k in range(4)))
-    distinct = materialize(distinct, "lines-distinct")
+    distinct = materialize(distinct, "lines-distinct", lean=True)
 
     ends_of = F.array_distinct(F.array(*(F.struct(F.col(f"h{k}").alias("h"), F.lit(1 + k % 2).alias("end")) for k in range(4))))  # equal for odd lengths
     halves = distinct.filter("h0 IS NOT NULL").select("k1", F.explode(ends_of).alias("x")).select("k1", "x.h", "x.end")
     shared = halves.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").select("h")
     ends = halves.join(shared, "h").groupBy("k1").agg(F.bit_or("end").alias("ends"))
-    open_ = materialize(ends.join(distinct.select("k1", "k2", "first"), "k1"), "lines-open")
+    open_ = materialize(ends.join(distinct.select("k1", "k2", "first"), "k1"), "lines-open", lean=True)
     # the line's text is shuffled, which is a third of its units as an array
     found = lines.filter("h0 IS NOT NULL").select("k1", "k2", "n", "text").join(open_.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).join(open_, ["k1", "k2"])
-    united = materialize(found.select("k1", "k2", "first", "ends", (F.col("n") >= least_words).alias("by_words"), _units(least_words).alias("units")), "lines-units")
+    united = materialize(found.select("k1", "k2", "first", "ends", (F.col("n") >= least_words).alias("by_words"), _units(least_words).alias("units")), "lines-units", lean=True)
 
     keys = _keys(united)
     who = F.struct("first", "k1", "k2")
     of_kind = lambda k: F.min(F.when(F.col("kind") == k, who)).alias(f"kind{k}")
     least = keys.groupBy("key").agg(*map(of_kind, range(3)), F.min("k1").alias("lo"), F.max("k1").alias("hi"))
-    least = materialize(least.filter("lo < hi").drop("lo", "hi"), "lines-keys")
+    least = materialize(least.filter("lo < hi").drop("lo", "hi"), "lines-keys", lean=True)
     near = F.when(F.col("kind") == 0, F.col("kind0")).when(F.col("kind") == 1, F.col("kind2")).otherwise(F.col("kind1"))
     met = keys.join(least, "key").select("k1", "k2", "first", near.alias("near"))
     pairs = met.filter(F.col("near.first") < F.col("first")).select("k1", "k2", F.col("near.k1").alias("o1"), F.col("near.k2").alias("o2")).distinct()
     texts = united.select("k1", "k2", "units")
     checked = pairs.join(texts, ["k1", "k2"]).join(texts.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("units").alias("others")), ["o1", "o2"])
-    gone = materialize(checked.filter(_near(F.col("units"), F.col("others"))).select("k1", "k2", F.lit(True).alias("gone")).distinct(), "lines-gone")
+    gone = materialize(checked.filter(_near(F.col("units"), F.col("others"))).select("k1", "k2", F.lit(True).alias("gone")).distinct(), "lines-gone", lean=True)
     for done in (open_, united, least):
         discard(done)
 

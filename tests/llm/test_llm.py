@@ -175,6 +175,19 @@ def test_line_dedup_equals_brute_force(spark):
     assert all(text[d] == (None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in got[d])) for d, t in docs)
 
 
+def test_line_dedup_leaves_no_shuffle_files(spark):
+    """All that it has written to the cluster's disks by the end are its tables; shuffle files used to wait for the driver's garbage collection."""
+    jvm = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in jvm.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    rng, before = random.Random(8), files()
+    rows = [(d, "\n".join(" ".join(words(rng, 6, 4)) for _ in range(5))) for d in range(30)]
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_ = spark.conf.get(cleanup, None)
+    found = line_dedup.find(frame(spark, rows))
+    assert not files() - before and spark.conf.get(cleanup, None) == set_
+    assert sum(len(r.dropped) for r in found.collect()) > 30
+
+
 def test_line_dedup_nulls_and_repeats(spark):
     got = line_dedup.find(frame(spark, [(None, "a b"), (1, "a b\nc"), (1, "a b\nc"), (2, "c")])).collect()
     assert sorted((r.doc_id or 0, list(r.dropped)) for r in got) == [(0, []), (1, [0]), (1, [0, 1]), (2, [0])]  # one of the equal rows is the earliest

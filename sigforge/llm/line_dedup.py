@@ -63,7 +63,7 @@ def _keys(lines: DataFrame) -> DataFrame:
     """
     by = Window.partitionBy("k1", "k2")
     run = by.orderBy("at")
-    dealt = lines.repartition("k1", "k2")
+    dealt = lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k1", "k2")  # a fixed number: a row becomes many
     units = dealt.select("k1", "k2", "first", "ends", "by_words", F.size("units").alias("n"), F.posexplode("units").alias("at", "unit"))
     units = units.withColumn("here", F.xxhash64("at", "unit")).withColumn("shifted", F.xxhash64(F.col("at") - 1, "unit"))
     units = units.withColumn("before", F.coalesce(F.bit_xor("here").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -112,8 +112,8 @@ def find(docs: DataFrame, *, id_col="doc_id", text_col="text", least_words: int
     shared = halves.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo < hi").select("h")
     ends = halves.join(shared, "h").groupBy("k1").agg(F.bit_or("end").alias("ends"))
     open_ = materialize(ends.join(distinct.select("k1", "k2", "first"), "k1"), "lines-open", lean=True)
-    # the line's text is shuffled, which is a third of its units as an array
-    found = lines.filter("h0 IS NOT NULL").select("k1", "k2", "n", "text").join(open_.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).join(open_, ["k1", "k2"])
+    # the line's text is shuffled, which is a third of its units as an array; so it is at every size, by the hint
+    found = lines.filter("h0 IS NOT NULL").select("k1", "k2", "n", "text").join(open_.select("k1", "k2").hint("merge"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).join(open_, ["k1", "k2"])
     united = materialize(found.select("k1", "k2", "first", "ends", (F.col("n") >= least_words).alias("by_words"), _units(least_words).alias("units")), "lines-units", lean=True)
 
     keys = _keys(united)

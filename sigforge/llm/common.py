@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,40 @@ def discard(df: DataFrame) -> None:
         hadoop_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
 
 
+#: What a Python worker keeps from one task of a pass to the next.
+kept: dict = {}
+
+
+def in_arrow(df: DataFrame, run, schema, keeps: bool = False) -> DataFrame:
+    """df.mapInArrow(run, schema) whose workers, which stay for later passes, hold on to no memory that they have freed.
+
+    keeps: `kept` is for this pass; others clear it.
+    """
+
+    def tidy(batches):
+        if not keeps:
+            forget()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def forget() -> None:
+    """Empty `kept`; a function of the module, as tasks get copies of the variables that they name themselves."""
+    kept.clear()
+
+
+def release() -> None:
+    """Give back to the system what Arrow and the C library hold free."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 def fresh(columns, *names: str) -> list[str]:
     """The names, lengthened so that none is among the columns (case doesn't count)."""
     taken, out = {c.lower() for c in columns}, []

@@ -9,7 +9,7 @@ from .common import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
+    """Every larger neighbour of a node is linked to the smallest of the node and its neighbours. No more links than before."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -38,7 +38,7 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     for _ in range(most_rounds):
         if not before[0]:
             break
-        after_state = materialize(_distinct(_small_star(_distinct(_large_star(state)))), "links")
+        after_state = materialize(_distinct(_small_star(_large_star(state))), "links")
         after = after_state.agg(print_of.alias("p")).first()[0]
         discard(state)
         state = after_state

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import LETTER_BYTES, chunks, fresh, materialize, rows_of, table, utf8
+from .common import LETTER_BYTES, chunks, fresh, in_arrow, materialize, rows_of, table, utf8
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -237,7 +237,7 @@ def _annotate(docs: DataFrame, block: Block, text_col: str, names: list[str]):
                 )
 
     found = (T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType()))
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, found, strict=True))])), value
+    return in_arrow(docs, run, T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, found, strict=True))])), value
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, text_col="text", item_col="item_id", item_text_col="text",
@@ -328,7 +328,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, *, id_col="doc_id", t
                 names = pa.array([block.item_ids[i] for i in item.tolist()], pa.string())
                 yield pa.RecordBatch.from_arrays([ids, names, *(pa.array(x, pa.int64()) for x in (word, offset, length))], names=schema.names)
 
-        found = materialize(docs.select(id_col, text_col).mapInArrow(run, schema), "longest-matches")
+        found = materialize(in_arrow(docs.select(id_col, text_col), run, schema), "longest-matches")
         value.destroy()
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out

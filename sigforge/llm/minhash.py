@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, fresh, materialize, rows_of, table
+from .common import chunks, discard, fresh, in_arrow, materialize, rows_of, table
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -68,7 +68,7 @@ def _sketch(docs: DataFrame, width: int) -> DataFrame:
                 "sig": ([signature(s) if len(s) >= 4 else None for s in sets], pa.binary()),
             })
 
-    return docs.mapInArrow(run, "id long, n long, key binary, sig binary")
+    return in_arrow(docs, run, "id long, n long, key binary, sig binary")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -77,7 +77,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             sets = shingle_sets([r[1] for r in part], width)
             yield _arrays({"id": ([r[0] for r in part], pa.int64()), "shingles": ([s.tobytes() for s in sets], pa.binary())})
 
-    return docs.mapInArrow(run, "id long, shingles binary")
+    return in_arrow(docs, run, "id long, shingles binary")
 
 
 def _agreeing(pairs: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
             near = (x == y).mean(1) >= LEAST_AGREEMENT
             yield _arrays({"a": ([r[0] for r, k in zip(part, near, strict=True) if k], pa.int64()), "b": ([r[1] for r, k in zip(part, near, strict=True) if k], pa.int64())})
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return in_arrow(pairs, run, "a long, b long")
 
 
 def _linked(pairs: DataFrame, percent: int) -> DataFrame:
@@ -104,7 +104,7 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
                     b.append(j)
             yield _arrays({"a": (a, pa.int64()), "b": (b, pa.int64())})
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return in_arrow(pairs, run, "a long, b long")
 
 
 def _within(rows: DataFrame, percent: int) -> DataFrame:
@@ -150,7 +150,7 @@ def _within(rows: DataFrame, percent: int) -> DataFrame:
         links += solve(held) if len(held) > 1 else []
         yield _arrays({"a": ([min(x) for x in links], pa.int64()), "b": ([max(x) for x in links], pa.int64())})
 
-    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long")
+    return in_arrow(rows.repartition("part").sortWithinPartitions("part"), run, "a long, b long")
 
 
 def _agreeing_here(sigs: np.ndarray, k: int, rest: np.ndarray, band: int) -> list[int]:
@@ -245,8 +245,9 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width:
             break
         pairs = open_.join(leads, "bucket").filter("comp <> lead_comp").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
         found = confirmed(pairs)
-        links = found if links is None else links.unionByName(found)
+        links = found if links is None else joined.unionByName(found)
         roots = materialize(components(links), "minhash-roots")
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # for all links so far
         rest = members.join(leads.select("bucket", F.col("lead").alias("node")), ["bucket", "node"], "left_anti")
         rest = rest.drop("comp").join(roots.withColumnRenamed("root", "comp"), "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
         mixed = rest.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket", "size")
@@ -260,8 +261,7 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", width:
             parts = parts.unionByName(_strips(open_))
         for known_ in (sigs, sets):
             parts = parts.join(known_.withColumnRenamed("id", "node"), "node")
-        links = links.unionByName(materialize(_within(parts, percent), "minhash-links"))
-        roots = materialize(components(links), "minhash-roots")
+        roots = materialize(components(joined.unionByName(materialize(_within(parts, percent), "minhash-links"))), "minhash-roots")
     if links is None:
         out = known.withColumn("component_id", F.col("rep"))
     else:

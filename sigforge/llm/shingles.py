@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from .common import LOWER_BYTES, utf8
@@ -10,6 +12,9 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _tables: dict[int, np.ndarray] = {}
+#: Bytes hashed at a time: arrays of 8 bytes a byte are as long as this, or the longest word, and not as the texts.
+BLOCK = 250_000
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _powers_of(base: np.uint64, n: int) -> np.ndarray:
@@ -45,7 +50,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word of bytes between ASCII white space."""
+    """Hash and start of every word of bytes between ASCII white space. Blocks end at white space, so no word is cut."""
+    parts, at = [], 0
+    while at < len(data) or not parts:
+        space = _SPACE.search(data, at + BLOCK)
+        end = space.start() if space else len(data)
+        hashes, start = _block_hashes(data[at:end])
+        parts.append((hashes, start + at))
+        at = end
+    return np.concatenate([h for h, _ in parts]), np.concatenate([s for _, s in parts])
+
+
+def _block_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     b = np.frombuffer(data, np.uint8)
     inside = (b != 32) & ((b < 9) | (b > 13))
     edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import materialize, rows_of, shared_dir, table, utf8
+from .common import in_arrow, kept, materialize, rows_of, shared_dir, table, utf8
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
@@ -180,16 +180,13 @@ class Words:
         return self.words.joined(utf8(text).decode("utf-8", "replace").translate(_SPACES).split(" "), self._word)
 
 
-_loaded: dict[int, Words] = {}
-
-
 def _words(spec: str) -> Words:
     """One tokenizer with its cache for each Python worker, which serves many tasks."""
-    key = zlib.crc32(spec.encode())
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Words(spec)
-    return _loaded[key]
+    key = ("words", zlib.crc32(spec.encode()))
+    if key not in kept:
+        kept.clear()
+        kept[key] = Words(spec)
+    return kept[key]
 
 
 def tokenize(docs: DataFrame, spec: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -222,7 +219,7 @@ def tokenize(docs: DataFrame, spec: str, id_col: str, text_col: str, end_id: int
         rows, own = [(None, None, None, pack(counts.tobytes()))], []
         yield batch()
 
-    return materialize(docs.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(run, "doc long, n long, ids binary, counts binary"), "tokens")
+    return materialize(in_arrow(docs.select(F.col(id_col).cast("long").alias(id_col), text_col), run, "doc long, n long, ids binary, counts binary", keeps=True), "tokens")
 
 
 def ranks(tokenized: DataFrame) -> np.ndarray:
@@ -235,7 +232,7 @@ def ranks(tokenized: DataFrame) -> np.ndarray:
                 ids = np.arange(len(counts))
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts)], names=["id", "n"])
 
-    got = tokenized.filter("counts IS NOT NULL").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    got = in_arrow(tokenized.filter("counts IS NOT NULL").select("counts"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     ids, n = got["id"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
     return ids[np.lexsort((ids, -n))].astype(np.uint32)
 
@@ -264,7 +261,6 @@ def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> Da
     value = tokenized.sparkSession.sparkContext.broadcast(order)
 
     def run(batches):
-        _loaded.clear()  # this worker tokenizes no more
         rank, unpack = value.value, zstandard.ZstdDecompressor()
         shard = TaskContext.get().partitionId()
         fs, folder = _open(path)
@@ -293,7 +289,7 @@ def write(tokenized: DataFrame, by_rank: np.ndarray, path: str, kind: str) -> Da
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int64()), (name.rsplit("/", 1)[1], pa.string()), (n_docs, pa.int64()), (n_ids, pa.int64()))], names=["shard", "file", "n_docs", "n_ids"])
 
     parts = tokenized.filter("ids IS NOT NULL").select("doc", "ids").repartitionByRange("doc").sortWithinPartitions("doc", "ids")
-    shards = materialize(parts.mapInArrow(run, "shard long, file string, n_docs long, n_ids long"), "token-shards")
+    shards = materialize(in_arrow(parts, run, "shard long, file string, n_docs long, n_ids long"), "token-shards")
     fs, folder = _open(path)
     fs.create_dir(folder, recursive=True)
     with fs.open_output_stream(f"{folder}/ranks.bin") as f:
@@ -340,7 +336,7 @@ def read(shards: DataFrame, path: str, id_col: str = "doc_id", with_ids: bool =
 
     schema = f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     n = max(1, shards.count())
-    return files.repartitionByRange(n, "shard").mapInArrow(run, schema)
+    return in_arrow(files.repartitionByRange(n, "shard"), run, schema)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str | None = None, path: str | None = None, *, id_col="doc_id", text_col="text", end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, rows_of, table, take
+from .common import fresh, in_arrow, rows_of, table, take
 
 MAX_ROWS = 12_000
 MAX_ENTRIES = 3_000
@@ -141,7 +141,7 @@ def _counts(rows: DataFrame, text_col: str, label_col: str) -> DataFrame:
                     count = (Counter(), Counter())
         yield flush(count)
 
-    return rows.mapInArrow(run, schema).groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    return in_arrow(rows, run, schema).groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", label_col="toxic", max_rows: int = MAX_ROWS,
@@ -200,7 +200,7 @@ def _contexts(rows: DataFrame, model: Model) -> DataFrame:
             columns = (pa.array(keys, pa.string()), pa.array([count[1][k] for k in keys], pa.int64()), pa.array([count[0][k] for k in keys], pa.int64()))
             yield pa.RecordBatch.from_arrays(list(columns), names=["phrase", "bad", "good"])
 
-    return rows.mapInArrow(run, "phrase string, bad long, good long").groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    return in_arrow(rows, run, "phrase string, bad long, good long").groupBy("phrase").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
 def _closed(by: dict, most: int) -> list[str]:
@@ -228,7 +228,7 @@ def _weigh(model: Model, rows: DataFrame, penalty: float = 0.3) -> Model:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["e", "x", "y"])
 
-    got = rows.mapInArrow(run, "e array<int>, x array<double>, y int").collect()  # bounded by max_rows
+    got = in_arrow(rows, run, "e array<int>, x array<double>, y int").collect()  # bounded by max_rows
     y = np.array([r.y for r in got], float)
     row = np.repeat(np.arange(len(got)), [len(r.e) for r in got])
     col, x = np.array([k for r in got for k in r.e], np.int64), np.array([v for r in got for v in r.x], float)
@@ -261,7 +261,7 @@ def annotate(docs: DataFrame, model: Model, *, text_col="text", score_col="score
                 texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(texts, automaton), pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return in_arrow(docs, run, schema)
 
 
 def remove(docs: DataFrame, model: Model, *, text_col="text", threshold: float = 0.5) -> DataFrame:

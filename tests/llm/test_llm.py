@@ -1,15 +1,19 @@
+import os
 import random
+import re
 import sys
 import zlib
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
-from sigforge.llm import chroma, components, decontaminate, html_text, licenses, line_dedup, minhash, mixing, registry, suffix_dedup, tokens, toxicity  # noqa: E402
+from sigforge.llm import chroma, common, components, decontaminate, html_text, licenses, line_dedup, minhash, mixing, registry, shingles, suffix_dedup, tokens, toxicity  # noqa: E402
 
 #: Columns whose names the operators also use inside.
 CLASH = "doc_id long, text string, id long, doc string, words string, sig string, key string, source string, rate string, copies string, size string, line int, _row int, _copies string, _rows string, _text string, _id string, _score string, _spans string, _items string, _n_words string, dropped string, _doc string, _gone string"
@@ -75,6 +79,35 @@ def test_minhash_nulls_repeats_empty(spark):
     assert sorted(r.doc_id for r in minhash.remove(clashing(spark, [(1, "a b c"), (5, "a b c"), (6, "q")])).collect()) == [1, 6]
 
 
+def test_word_hashes_of_long_texts_in_little_memory(monkeypatch):
+    rng = random.Random(3)
+    data = b" ".join([*(b"w%d" % rng.randrange(10**6) for _ in range(400_000)), b"x" * 300_000, b"y"])
+    monkeypatch.setattr(shingles, "_tables", {})
+    hashes, start = shingles.word_hashes(data)
+    assert sum(t.nbytes for t in shingles._tables.values()) <= 16 << 20  # not by the text's length
+    assert start.tolist() == [m.start() for m in re.finditer(rb"\S+", data)]
+    for block in (1, 7, 1 << 30):
+        monkeypatch.setattr(shingles, "BLOCK", block)
+        part = data[:20_000]
+        h, s = shingles.word_hashes(part)
+        assert (h[:-1] == hashes[: len(h) - 1]).all() and (s == start[: len(s)]).all()
+    for empty in (b"", b" \n"):
+        assert [len(x) for x in shingles.word_hashes(empty)] == [0, 0]
+
+
+def test_workers_forget_the_cache_of_earlier_passes(spark):
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([len(common.kept)])], names=["pid", "n"])
+
+    spec = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    docs = frame(spark, [(k, f"some words {k}") for k in range(40)]).repartition(8)
+    tokens.tokenize(docs, spec, "doc_id", "text", 1)
+    assert any(r.n for r in docs.mapInArrow(held, "pid long, n long").collect())  # for the pass's next tasks
+    seen = common.in_arrow(docs, held, "pid long, n long").collect()
+    assert seen and not any(r.n for r in seen)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)] + [(5, 5), (None, 3)]

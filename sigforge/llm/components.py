@@ -32,13 +32,14 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     Nulls and links of a node to itself are left out; repeated links count once. Work and size are those of the
     links; a hot node's links are aggregated before they are shuffled and split by the join.
     """
-    state = materialize(_distinct(edges.select("a", "b").dropna().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), "links")
+    files = 8 * edges.sparkSession.sparkContext.defaultParallelism  # at most: the links of many small partitions share them
+    state = materialize(_distinct(edges.select("a", "b").dropna().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).coalesce(files), "links")
     print_of = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
     before = state.agg(print_of.alias("p")).first()[0]
     for _ in range(most_rounds):
         if not before[0]:
             break
-        after_state = materialize(_distinct(_small_star(_large_star(state))), "links")
+        after_state = materialize(_distinct(_small_star(_large_star(state))).coalesce(files), "links")
         after = after_state.agg(print_of.alias("p")).first()[0]
         discard(state)
         state = after_state

@@ -95,6 +95,18 @@ def test_word_hashes_of_long_texts_in_little_memory(monkeypatch):
         assert [len(x) for x in shingles.word_hashes(empty)] == [0, 0]
 
 
+def test_tables_without_checksum_files_notice_damage(spark):
+    df = common.materialize(spark.range(20_000).selectExpr("id", "uuid() AS text").repartition(1), "plain")
+    folder = Path(df._sigforge_path.removeprefix("file:"))
+    assert not list(folder.rglob("*.crc")) and df.count() == 20_000
+    (file,) = folder.glob("part-*")
+    data = bytearray(file.read_bytes())
+    data[len(data) // 2] ^= 1
+    file.write_bytes(data)
+    with pytest.raises(Exception, match="(?i)crc|checksum"):
+        df.agg(F.sum(F.xxhash64("id", "text").cast("decimal(38,0)"))).collect()
+
+
 def test_workers_forget_the_cache_of_earlier_passes(spark):
     def held(batches):
         for _ in batches:
